@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from keyscout import defaults
 from keyscout.functions.text import as_text, col
+from keyscout.session import kept_if_small
 from keyscout.sources.tables import usable_columns
 
 FD_SCHEMA = T.StructType(
@@ -33,7 +34,6 @@ TABLE = ["sys_code", "table_code"]
 BRANCHES_PER_JOB = 24   # determinants of a large table tested by one job
 KEYS_PER_ROW = 64       # determinants of a small table tested by one job
 PROBE_ROWS = 100_000    # rows of the refutation probe
-CACHE_BYTES = 4 << 30   # tables up to this size are kept in memory between levels
 
 Fd = tuple[frozenset, str]
 Plan = dict[tuple[str, ...], list[str]]
@@ -183,15 +183,8 @@ def mine_fds(
     rows = comparable(df)
     if not rows.columns:
         return []
-    # Larger tables are read again per pass: a pass reads few columns, the scan prunes the rest.
-    small = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= CACHE_BYTES
-    if small:
-        rows = rows.persist()
-    try:
-        return _mine(rows, max_lhs, min_records, probe_rows)
-    finally:
-        if small:
-            rows.unpersist()
+    with kept_if_small(rows) as kept:
+        return _mine(kept, max_lhs, min_records, probe_rows)
 
 
 def _mine(rows: DataFrame, max_lhs: int, min_records: int, probe_rows: int) -> list[Fd]:
@@ -309,13 +302,15 @@ def check_fds(df: DataFrame, fds: Sequence[tuple[Sequence[str], str]]) -> DataFr
     return reduce(DataFrame.unionAll, parts)
 
 
-def pair_fd(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str, str]]:
+def find_pair_fds(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], large: bool = False
+) -> list[tuple[str, str, str]]:
     """Dependencies between paired columns: ``(left, right, 'bfd')`` or ``(from, to, 'fd')``."""
     plan: dict[tuple[str, ...], list[str]] = {}
     for a, b in pairs:
         plan.setdefault((a,), []).append(b)
         plan.setdefault((b,), []).append(a)
-    verdicts = _run_tests(comparable(df), {k: sorted(set(v)) for k, v in plan.items()})
+    verdicts = _run_tests(comparable(df), {k: sorted(set(v)) for k, v in plan.items()}, large)
     found = []
     for a, b in sorted(set(pairs)):
         groups, _, forward = verdicts[(a,)]
@@ -331,6 +326,13 @@ def pair_fd(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list[tuple[str,
     return found
 
 
+def pair_fd(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``find_pair_fds`` as rows ``(left_col, right_col, rel_type)``."""
+    found = find_pair_fds(df, pairs)
+    schema = "left_col string, right_col string, rel_type string"
+    return df.sparkSession.createDataFrame(found, schema)
+
+
 # ---- operators over mined FDs -----------------------------------------------------------
 
 def is_subset(small: str | Column, large: str | Column) -> Column:

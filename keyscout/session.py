@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +42,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="keyscout-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+SMALL_BYTES = 4 << 30
+
+
+@contextmanager
+def kept_if_small(df: DataFrame):
+    """``df``, cached for the block if its estimated size is small.
+
+    Larger inputs are read again by each pass, since a pass over few columns of a columnar
+    file is cheaper than spilling the whole table.
+    """
+    small = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= SMALL_BYTES
+    if not small:
+        yield df
+        return
+    cached = df.persist()
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
