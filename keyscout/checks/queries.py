@@ -1127,9 +1127,10 @@ def joint_fk_groups(spark, folder):
 @register(
     "fk_tables",
     sql.query(
-        sql.fk_ctes(fx.LINKED_SQL, sql.TEXT_KEY_RULE, 2.0) + [("checked", _thread_test_sql())],
+        sql.fk_ctes(fx.LINKED_SQL, sql.TEXT_KEY_RULE, 2.0)
+        + [("joint", sql.query(_THREAD_FOUND, "SELECT child_sys, child_table FROM found"))],
         "SELECT parent_sys AS sys_code, parent_table AS table_code FROM fks UNION SELECT child_sys, child_table FROM fks "
-        "UNION SELECT 'core', 'conversations' UNION SELECT 'desk', 'replies'",
+        "UNION SELECT 'core', 'conversations' FROM joint UNION SELECT child_sys, child_table FROM joint",
     ),
 )
 def fk_tables(spark, folder):

@@ -121,7 +121,7 @@ def value_marks(c: Column) -> Column:
     return (
         bit(size.between(8, 10) & is_date(c), DATE_BIT)
         + bit(size.isin(5, 8) & is_time(c), TIME_BIT)
-        + bit((size >= 14) & is_timestamp(c), TIMESTAMP_BIT)
+        + bit((size >= 14) & c.rlike("^ *[0-9]") & is_timestamp(c), TIMESTAMP_BIT)
         + bit(c.contains(".") & is_float(c), FLOAT_BIT)
         + bit(is_integer(c), INTEGER_BIT)
         + bit(has_chinese(c), CHINESE_BIT)

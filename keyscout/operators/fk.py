@@ -17,6 +17,7 @@ from keyscout import defaults
 from keyscout.functions.text import col, normalize, not_blank
 from keyscout.operators.histogram import FIELD
 from keyscout.operators.profile import effective_type
+from keyscout.session import settled
 from keyscout.sources.tables import TableKey, Tables
 
 PARENT = ["parent_sys", "parent_table", "parent_col"]
@@ -202,6 +203,7 @@ def discover_fk(
     are no targets; children are other tables' fields with at least three values. First
     profiles are matched, then one job tests all remaining pairs on the full data.
     """
+    profile = settled(profile)
     eligible = F.col("avg_len") >= min_avg_len
     if skip_autoincrement:
         eligible = eligible & ~F.col("autoincrement")
@@ -494,8 +496,9 @@ def discover_joint_fk(
     threshold: float = defaults.FK_RATIO,
 ) -> DataFrame:
     """Foreign keys of joint primary keys of two or three columns."""
-    candidates = joint_fk_candidates(joint_keys, profile, systems, min_avg_len=min_avg_len)
+    candidates = joint_fk_candidates(joint_keys, settled(profile), systems, min_avg_len=min_avg_len)
     # Assignments of columns: bounded by the schema.
+    candidates = settled(candidates)
     assignments = [
         (
             (r["parent_sys"], r["parent_table"]),

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keyscout import defaults
 from keyscout.functions import moments, patterns
-from keyscout.functions.text import col
+from keyscout.functions.text import col, normalize
 from keyscout.operators.histogram import FIELD, long_values
+from keyscout.session import settled
 from keyscout.sources.tables import TableKey, Tables, usable_columns
 
 LONG_VALUE = 64  # longer values travel as their SHA-256 digest
@@ -22,37 +25,65 @@ PROFILE_COLUMNS = [
 ]
 
 
+def _field_numbers(tables: Tables) -> list[tuple[str, str, int, str]]:
+    """All usable fields as ``(sys_code, table_code, col_num, col_code)``; the index is the id."""
+    return [
+        (*key, i, c) for key, df in tables.items() for i, c in enumerate(usable_columns(df), start=1)
+    ]
+
+
 def _measured_histogram(tables: Tables) -> DataFrame:
-    """One row per distinct value: ``n``, its length, marks and number.
+    """One row per distinct value of a field id: ``n``, its length, marks and number.
 
     The recognisers run once per distinct value, after counting. Long texts are identified by
     their digest, so megabytes of prose do not cross the network; what their profile needs is
-    measured before the shuffle.
+    measured before the shuffle and travels behind the digest.
     """
+    ids = {(s, t, c): str(i) for i, (s, t, _, c) in enumerate(_field_numbers(tables))}
+    parts = []
+    for key, df in tables.items():
+        names = usable_columns(df)
+        if names:
+            wide = df.select([normalize(c).alias(ids[(*key, c)]) for c in names])
+            parts.append(wide.unpivot([], [col(c) for c in wide.columns], "field", "value"))
     v = F.col("value")
-    is_long = F.length(v) > LONG_VALUE
-    facts = F.struct(
-        F.length(v).alias("len"),
-        patterns.value_marks(v).alias("marks"),
-        patterns.to_double(v).alias("number"),
+    packed = F.concat_ws(
+        "|", F.sha2(v, 256), F.length(v), patterns.value_marks(v), patterns.to_double(v).cast("string")
     )
     counted = (
-        long_values(tables)
-        .select(
-            *FIELD,
-            F.when(is_long, F.sha2(v, 256)).otherwise(v).alias("value"),
-            F.when(is_long, facts).alias("facts"),
-        )
-        .groupBy(*FIELD, "value", "facts")
+        reduce(DataFrame.unionByName, parts)
+        .select("field", F.when(F.length(v) > LONG_VALUE, packed).otherwise(v).alias("value"))
+        .groupBy("field", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    is_packed = F.length(v) > LONG_VALUE
+
+    def part(i: int, kind: str) -> Column:
+        return F.get(F.split(v, r"\|"), i).cast(kind)
+
     return counted.select(
-        *FIELD,
+        "field",
         "value",
         "n",
-        F.coalesce("facts.len", F.length("value")).alias("len"),
-        F.coalesce("facts.marks", patterns.value_marks(F.col("value"))).alias("marks"),
-        F.coalesce("facts.number", patterns.to_double(F.col("value"))).alias("number"),
+        F.when(is_packed, part(1, "int")).otherwise(F.length(v)).alias("len"),
+        F.when(is_packed, part(2, "int")).otherwise(patterns.value_marks(v)).alias("marks"),
+        F.when(is_packed, part(3, "double")).otherwise(patterns.to_double(v)).alias("number"),
+    )
+
+
+def _with_names(df: DataFrame, tables: Tables) -> DataFrame:
+    """A frame with one row per field, its id replaced by the field's names and position."""
+    entries = []
+    for i, (sys_code, table_code, col_num, col_code) in enumerate(_field_numbers(tables)):
+        named = F.struct(
+            F.lit(sys_code).alias("sys_code"),
+            F.lit(table_code).alias("table_code"),
+            F.lit(col_code).alias("col_code"),
+            F.lit(col_num).alias("col_num"),
+        )
+        entries += [F.lit(str(i)), named]
+    return df.withColumn("_named", F.create_map(*entries)[F.col("field")]).select(
+        "_named.*", *[c for c in df.columns if c != "field"]
     )
 
 
@@ -65,7 +96,7 @@ def _counts(hist: DataFrame) -> DataFrame:
         return F.sum(F.when(filled & condition, n).otherwise(0))
 
     number = F.when(patterns.has_mark(marks, patterns.FLOAT_BIT), F.col("number"))
-    return hist.groupBy(*FIELD).agg(
+    return hist.groupBy("field").agg(
         F.sum("n").alias("records"),
         F.count(F.lit(1)).alias("distinct"),
         F.count_if(filled).alias("filled_distinct"),
@@ -96,13 +127,14 @@ def _length_moments(hist: DataFrame) -> DataFrame:
     histogram's exchange, which could then not be shared with the other branches.
     """
     weight = F.when(F.col("len") > 0, F.col("n")).otherwise(0)
-    sizes = hist.groupBy(*FIELD, "len").agg(F.sum(weight).alias("n"))
-    per_field = Window.partitionBy(*FIELD)
-    mean = F.sum(F.col("len") * F.col("n")).over(per_field) / F.sum("n").over(per_field)
+    sizes = hist.groupBy("field", "len").agg(F.sum(weight).alias("n"))
+    per_field = Window.partitionBy("field")
+    total = F.sum(F.col("len") * F.col("n")).over(per_field)
+    mean = F.try_divide(total, F.sum("n").over(per_field))
     deviation = F.col("len") - F.col("avg_len")
     sums = (
         sizes.withColumn("avg_len", mean)
-        .groupBy(*FIELD)
+        .groupBy("field")
         .agg(
             F.first("avg_len").alias("avg_len"),
             F.expr("percentile(len, 0.5D, n)").alias("median_len"),
@@ -112,7 +144,7 @@ def _length_moments(hist: DataFrame) -> DataFrame:
     )
     n, s2, s3, s4 = (F.col(c) for c in ("n", "s2", "s3", "s4"))
     return sums.select(
-        *FIELD,
+        "field",
         "avg_len",
         "median_len",
         moments.sample_variance(n, s2).alias("var_len"),
@@ -183,20 +215,27 @@ def autoincrement(df: DataFrame, column: str, threshold: float = defaults.AUTOIN
     )
 
 
-def _argmax_vote() -> Column:
-    """The class with most votes; on equal counts the earlier one in the fixed order."""
-    best = F.greatest(*[F.col(f"vote_{k}") for k in patterns.VOTE_ORDER])
-    verdict = F.when(F.lit(False), F.lit(""))
-    for kind in patterns.VOTE_ORDER:
-        verdict = verdict.when(F.col(f"vote_{kind}") == best, F.lit(kind))
-    return F.when(F.col("filled") > 0, verdict)
+def _elected() -> Column:
+    """The class with most votes and its accepted rows; on equal counts the first in order."""
+    ranked = [
+        F.struct(
+            F.col(f"vote_{kind}").alias("votes"),
+            F.lit(-i).alias("order"),
+            F.lit(kind).alias("kind"),
+            F.col("filled" if kind == "character" else f"is_{kind}").alias("accepted"),
+        )
+        for i, kind in enumerate(patterns.VOTE_ORDER)
+    ]
+    return F.when(F.col("filled") > 0, F.greatest(*ranked))
 
 
 def _typed(counts: DataFrame, threshold: float) -> DataFrame:
     """Adds vote, rate of the voted class over all values, data type and physical type."""
-    rate = F.lit(1.0)
-    for kind in ("integer", "float", "date", "time", "timestamp"):
-        rate = F.when(F.col("vote") == kind, F.col(f"is_{kind}") / F.col("filled")).otherwise(rate)
+    counts = counts.withColumn("elected", _elected()).select(
+        "*",
+        F.col("elected.kind").alias("vote"),
+        F.coalesce(F.try_divide("elected.accepted", "filled"), F.lit(0.0)).alias("data_type_rate"),
+    )
     fixed = F.col("max_len") == F.col("min_len")
     text_type = F.when(fixed, "CHAR").otherwise("VARCHAR")
     too_long = F.col("max_len") > defaults.MAX_INTEGER_LEN
@@ -220,9 +259,7 @@ def _typed(counts: DataFrame, threshold: float) -> DataFrame:
         .otherwise("VARCHAR")
     )
     return (
-        counts.withColumn("vote", _argmax_vote())
-        .withColumn("data_type_rate", F.when(F.col("filled") == 0, 0.0).otherwise(rate))
-        .withColumn("fixed_length", (F.col("filled") > 0) & fixed)
+        counts.withColumn("fixed_length", (F.col("filled") > 0) & fixed)
         .withColumn("data_type", data_type)
         .withColumn("col_type", col_type)
         .withColumn(
@@ -262,15 +299,6 @@ def _category() -> Column:
     )
 
 
-def _column_numbers(tables: Tables) -> Column:
-    """Position of a field in its table, from 1."""
-    entries = []
-    for (sys_code, table_code), df in tables.items():
-        for i, name in enumerate(usable_columns(df), start=1):
-            entries += [F.lit("\x1f".join((sys_code, table_code, name))), F.lit(i)]
-    return F.create_map(*entries)[F.concat_ws("\x1f", *FIELD)]
-
-
 def profile_tables(
     tables: Tables,
     min_records: int = defaults.MIN_RECORDS,
@@ -283,8 +311,9 @@ def profile_tables(
     """
     hist = _measured_histogram(tables)
     typed = _typed(_counts(hist), type_threshold)
-    steps = _sequence_steps(hist.select(*FIELD, "value", "n"), FIELD)
-    joined = typed.join(_length_moments(hist), FIELD, "left").join(steps, FIELD, "left")
+    steps = _sequence_steps(hist.select("field", "value", "n"), ["field"])
+    joined = typed.join(_length_moments(hist), "field", "left").join(steps, "field", "left")
+    joined = _with_names(joined, tables)
     sequence = F.col("sequence_eligible") & (_sequence_rate() >= sequence_threshold)
 
     def or_zero(name: str) -> Column:
@@ -293,7 +322,7 @@ def profile_tables(
     return joined.where(F.col("records") >= min_records).select(
         "sys_code",
         "table_code",
-        _column_numbers(tables).alias("col_num"),
+        "col_num",
         "col_code",
         "records",
         "distinct",
@@ -325,19 +354,19 @@ def table_info(tables: Tables, min_records: int = defaults.MIN_RECORDS) -> DataF
 
 def type_votes(tables: Tables) -> DataFrame:
     """Rows of every column that each recogniser accepts, and the votes per class."""
-    counts = _counts(_measured_histogram(tables))
+    counts = _with_names(_counts(_measured_histogram(tables)), tables)
     kinds = ("integer", "float", "date", "time", "timestamp")
     return counts.select(
         *FIELD,
         "filled",
         *[f"is_{k}" for k in kinds],
         *[f"vote_{k}" for k in patterns.VOTE_ORDER],
-        _argmax_vote().alias("vote"),
+        _elected().getField("kind").alias("vote"),
     )
 
 
 def length_moments(tables: Tables) -> DataFrame:
-    return _length_moments(_measured_histogram(tables))
+    return _with_names(_length_moments(_measured_histogram(tables)), tables).drop("col_num")
 
 
 def has_chinese(tables: Tables) -> DataFrame:
@@ -351,7 +380,7 @@ def code_values(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     Code values have at most 10 characters, so longer ones are dropped before the shuffle,
     and a field has fewer than 20 of them, so the join side from the profile stays small.
     """
-    profile = profile_tables(tables) if profile is None else profile
+    profile = settled(profile_tables(tables) if profile is None else profile)
     codes = profile.where(F.col("tech_cate") == "CODE").select(*FIELD)
     values = long_values(tables).where(F.length("value").between(1, 10)).distinct()
     return values.join(codes, FIELD, "left_semi").withColumnRenamed("value", "code_value")

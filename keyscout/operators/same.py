@@ -14,7 +14,7 @@ from keyscout.operators.fd import TABLE, fds_by_level, find_pair_fds
 from keyscout.operators.graph import components
 from keyscout.operators.keys import fd_closure
 from keyscout.operators.profile import informative_columns
-from keyscout.session import kept_if_small
+from keyscout.session import kept_if_small, settled
 from keyscout.sources.tables import TableKey, Tables, distinct_projection
 
 DETAIL_SCHEMA = "left_node string, right_node string, fk_id string, fk_type string, rel_type string"
@@ -134,6 +134,7 @@ def same_fields(
     other. Every foreign key is analysed on its own.
     """
     spark = profile.sparkSession
+    profile, fds = settled(profile), settled(fds)
     refs = references(fks, joint_fks, scope, known_ids)
     rows = [
         (_node(ref.parent, p), _node(ref.child, c), ref.fk_id, ref.fk_type, "fk")

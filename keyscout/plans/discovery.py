@@ -17,7 +17,7 @@ from keyscout.operators.keys import (
 )
 from keyscout.operators.profile import profile_tables
 from keyscout.operators.same import field_clusters, same_fields
-from keyscout.session import cut_lineage
+from keyscout.session import cut_lineage, settled
 from keyscout.sources.tables import Tables, usable_columns
 
 
@@ -49,8 +49,8 @@ def discover_pk(
 
     ``one_step`` takes candidates from single FD steps instead of the closure search.
     """
-    profile = cut_lineage(profile_tables(tables)) if profile is None else profile
-    fds = fds_of_tables(spark, tables, max_lhs) if fds is None else fds
+    profile = settled(profile_tables(tables) if profile is None else profile)
+    fds = settled(fds_of_tables(spark, tables, max_lhs) if fds is None else fds)
     columns = column_rows(spark, tables)
     search = candidate_keys_sql if one_step else candidate_keys
     candidates = cut_lineage(search(fds, columns))
@@ -69,7 +69,7 @@ def discover_schema(
 ) -> dict[str, DataFrame]:
     """All stages in order; every result is cut from its lineage before the next stage."""
     profile = cut_lineage(profile_tables(tables))
-    fds = fds_of_tables(spark, tables, max_lhs)
+    fds = settled(fds_of_tables(spark, tables, max_lhs))
     keys = cut_lineage(discover_pk(spark, tables, profile, fds))
     single = keys.where(F.col("kind") == "single").select(
         "sys_code", "table_code", F.element_at("cols", 1).alias("col_code")

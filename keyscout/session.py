@@ -44,6 +44,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage, for a small result that several steps read.
+
+    Without this each reader would scan the source tables again.
+    """
+    plan = df._jdf.queryExecution().logical().getClass().getSimpleName()
+    return df if plan in ("LogicalRDD", "LocalRelation") else cut_lineage(df)
+
+
 SMALL_BYTES = 4 << 30
 
 
