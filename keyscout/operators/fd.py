@@ -339,6 +339,17 @@ def is_subset(small: str | Column, large: str | Column) -> Column:
     return F.size(F.array_except(small, large)) == 0
 
 
+def applicable(sets: DataFrame, attrs: str, rules: DataFrame, key: Sequence[str] = TABLE) -> DataFrame:
+    """Every set with each rule whose non-empty ``lhs`` it contains.
+
+    A rule meets only the sets that hold its first column, on an equality join, instead of
+    every set of its table. Columns of ``rules`` beyond the key must have other names.
+    """
+    held = sets.withColumn("_first", F.explode(attrs))
+    first = rules.where(F.size("lhs") > 0).withColumn("_first", F.element_at("lhs", 1))
+    return held.join(first, [*key, "_first"]).where(is_subset("lhs", attrs)).drop("_first")
+
+
 def merge_fds(batch1: DataFrame, batch2: DataFrame, require_overlap: bool = True) -> DataFrame:
     """FDs that hold in both batches.
 
@@ -352,20 +363,27 @@ def merge_fds(batch1: DataFrame, batch2: DataFrame, require_overlap: bool = True
     both = one.join(two, key)
     only_one = one.join(two, key, "left_anti")
     only_two = two.join(one, key, "left_anti").withColumnRenamed("lhs", "lhs2")
-    pairs = only_one.join(only_two, [*TABLE, "rhs"])
     if require_overlap:
-        pairs = pairs.where(F.arrays_overlap("lhs", "lhs2"))
+        # Meet on a shared column, so that only overlapping determinants are paired.
+        shared = [*TABLE, "rhs", "_shared"]
+        pairs = only_one.withColumn("_shared", F.explode("lhs")).join(
+            only_two.withColumn("_shared", F.explode("lhs2")), shared
+        )
+    else:
+        pairs = only_one.join(only_two, [*TABLE, "rhs"])
     united = pairs.select(*TABLE, "rhs", F.array_sort(F.array_union("lhs", "lhs2")).alias("lhs"))
     every = both.unionByName(united).distinct()
-    smaller = every.select(*TABLE, "rhs", F.col("lhs").alias("sub"))
-    minimal = every.join(
-        smaller,
-        [
-            *[every[c] == smaller[c] for c in [*TABLE, "rhs"]],
-            F.size("sub") < F.size("lhs"),
-            is_subset("sub", "lhs"),
-        ],
-        "left_anti",
+    larger = every.select(*TABLE, "rhs", F.col("lhs").alias("whole"))
+    redundant = (
+        applicable(larger, "whole", every, [*TABLE, "rhs"])
+        .where(F.size("lhs") < F.size("whole"))
+        .select(*TABLE, "rhs", F.col("whole").alias("lhs"))
+    )
+    constant = every.where(F.size("lhs") == 0).select(*TABLE, "rhs").distinct()
+    minimal = (
+        every.join(redundant, key, "left_anti")
+        .join(constant.withColumn("_constant", F.lit(True)), [*TABLE, "rhs"], "left")
+        .where(F.col("_constant").isNull() | (F.size("lhs") == 0))
     )
     return minimal.select(*TABLE, "lhs", "rhs", F.size("lhs").alias("fd_level"))
 

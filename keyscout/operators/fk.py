@@ -17,7 +17,7 @@ from keyscout import defaults
 from keyscout.functions.text import col, normalize, not_blank
 from keyscout.operators.histogram import FIELD
 from keyscout.operators.profile import effective_type
-from keyscout.session import settled
+from keyscout.session import cut_lineage, settled
 from keyscout.sources.tables import TableKey, Tables
 
 PARENT = ["parent_sys", "parent_table", "parent_col"]
@@ -130,6 +130,8 @@ def inclusion_unary(tables: Tables, pairs: Sequence[tuple]) -> DataFrame:
     fields = sorted({p[:3] for p in pairs} | {p[3:] for p in pairs})
     index = {field: i for i, field in enumerate(fields)}
     counts = _membership_counts(tables, fields)
+    if len(pairs) > PAIRS_PER_PASS:
+        counts = cut_lineage(counts)  # several passes read it
 
     def holds(i: int) -> Column:
         return F.col(f"w{i // WORD}").bitwiseAND(F.lit(1 << (i % WORD)).cast("long")) != 0

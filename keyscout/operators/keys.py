@@ -11,11 +11,20 @@ from pyspark.sql.window import Window
 
 from keyscout import defaults
 from keyscout.functions.text import col
-from keyscout.operators.fd import TABLE, fd_degrees, is_subset
+from keyscout.operators.fd import TABLE, applicable, fd_degrees
 from keyscout.session import cut_lineage
 from keyscout.sources.tables import TableKey, Tables
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _constants(rules: DataFrame) -> DataFrame:
+    """``(sys_code, table_code, constants)`` of the tables with constant columns."""
+    return rules.where(F.size("lhs") == 0).groupBy(*TABLE).agg(F.collect_set("rhs").alias("constants"))
+
+
 def _fire(sets: DataFrame, fds: DataFrame) -> DataFrame:
     """One round: every set gains the right-hand sides of the FDs it satisfies.
 
@@ -23,13 +32,13 @@ def _fire(sets: DataFrame, fds: DataFrame) -> DataFrame:
     are bounded by the number of columns.
     """
     gains = (
-        sets.join(fds, TABLE)
-        .where(is_subset("lhs", "attrs") & ~F.array_contains("attrs", F.col("rhs")))
+        applicable(sets, "attrs", fds)
+        .where(~F.array_contains("attrs", F.col("rhs")))
         .groupBy(*TABLE, "start")
         .agg(F.collect_set("rhs").alias("gain"))
     )
     joined = sets.join(gains, [*TABLE, "start"], "left")
-    grown = F.array_sort(F.array_union("attrs", F.coalesce("gain", F.array().cast("array<string>"))))
+    grown = F.array_sort(F.array_union("attrs", F.coalesce("gain", _none())))
     return joined.select(*TABLE, "start", grown.alias("attrs"), F.col("gain").isNotNull().alias("grew"))
 
 
@@ -41,7 +50,13 @@ def fd_closure(fds: DataFrame, starts: DataFrame) -> DataFrame:
     """
     rules = cut_lineage(fds.select(*TABLE, "lhs", "rhs").distinct())
     start = F.array_sort(F.array_distinct("start"))
-    active = starts.select(*TABLE, start.alias("start")).distinct().withColumn("attrs", F.col("start"))
+    constants = _constants(rules)
+    active = (
+        starts.select(*TABLE, start.alias("start"))
+        .distinct()
+        .join(constants, TABLE, "left")
+        .select(*TABLE, "start", F.array_union("start", F.coalesce("constants", _none())).alias("attrs"))
+    )
     finished = []
     while True:
         round_ = cut_lineage(_fire(active, rules))
@@ -159,11 +174,13 @@ def candidate_keys_sql(fds: DataFrame, columns: DataFrame) -> DataFrame:
     """
     rules = fds.select(*TABLE, F.array_sort("lhs").alias("lhs"), "rhs").distinct()
     left = rules.where(F.size("lhs") > 0).select(*TABLE, F.col("lhs").alias("key")).distinct()
+    gained = applicable(left, "key", rules).where(~F.array_contains("key", F.col("rhs")))
     reached = (
-        left.join(rules, TABLE)
-        .where(is_subset("lhs", "key") & ~F.array_contains("key", F.col("rhs")))
-        .groupBy(*TABLE, "key")
-        .agg((F.count_distinct("rhs") + F.size("key")).alias("reach"))
+        gained.groupBy(*TABLE, "key")
+        .agg(F.collect_set("rhs").alias("gain"))
+        .join(_constants(rules), TABLE, "left")
+        .withColumn("gain", F.array_union("gain", F.array_except(F.coalesce("constants", _none()), "key")))
+        .select(*TABLE, "key", (F.size("gain") + F.size("key")).alias("reach"))
     )
     n_cols = columns.groupBy(*TABLE).agg(F.count_distinct("col_code").alias("n_cols"))
     per_table = Window.partitionBy(*TABLE)
