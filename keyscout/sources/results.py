@@ -11,15 +11,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyscout.operators.keys import joint_key_rows
 from keyscout.operators.worklist import latest_status
 
-RESULTS = (
-    "profile", "table_info", "code_values", "fds", "joint_pk", "fks", "joint_fks", "fk_nodes",
-    "same_detail", "same_cluster", "dim_result", "status",
+_EDGE = (
+    "parent_sys string, parent_table string, parent_col string, child_sys string, child_table string, child_col string"
 )
 
+# The columns of each result.
+SCHEMAS = {
+    "profile": (
+        "sys_code string, table_code string, col_num int, col_code string, records bigint, distinct bigint, "
+        "max_len int, min_len int, avg_len double, median_len double, var_len double, skew_len double, "
+        "kurt_len double, has_chinese boolean, nullable boolean, default_value boolean, fixed_length boolean, "
+        "autoincrement boolean, data_type string, data_type_rate double, col_type string, tech_cate string, col_pk boolean"
+    ),
+    "table_info": "sys_code string, table_code string, col_num int",
+    "code_values": "sys_code string, table_code string, col_code string, code_value string",
+    "fds": "sys_code string, table_code string, lhs array<string>, rhs string, fd_level int",
+    "joint_pk": "sys_code string, table_code string, group_code int, cols array<string>",
+    "fks": f"{_EDGE}, fk_name string, ratio double, parent_size bigint, id string",
+    "joint_fks": (
+        "group_id string, parent_sys string, parent_table string, child_sys string, child_table string, "
+        "pairs array<struct<parent_col: string, child_col: string>>, ratio double, parent_size bigint"
+    ),
+    "fk_nodes": "node_code string, node_name string, node_type string, parent_node_code string, sys_code string",
+    "same_detail": "left_node string, right_node string, fk_id string, fk_type string, rel_type string",
+    "same_cluster": "category_same int, node string, diff_flg int, dim_order int",
+    "dim_result": (
+        "sys_code string, table_code string, col_code string, dim_node string, origin_dim string, "
+        "relation_type string, del_flag string"
+    ),
+    "status": "sys_code string, table_code string, stage string, code string, started timestamp, ended timestamp",
+}
+
 
 class ResultStore:
     """The results of an analysis under one folder."""
@@ -29,30 +56,32 @@ class ResultStore:
         self.folder = folder.rstrip("/")
 
     def _path(self, name: str) -> str:
-        if name not in RESULTS:
+        if name not in SCHEMAS:
             raise ValueError(f"unknown result {name!r}")
         return f"{self.folder}/{name}"
 
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        writer = df.write.mode(mode)
-        if "sys_code" in df.columns:
+    def _load(self, name: str, path: str) -> DataFrame:
+        # The explicit schema keeps system codes such as 007 text and lets a result be empty.
+        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
+
+    def _write(self, name: str, df: DataFrame, path: str, mode: str) -> None:
+        columns = T.StructType.fromDDL(SCHEMAS[name]).names
+        writer = df.select(*columns).write.mode(mode)
+        if "sys_code" in columns:
             writer = writer.partitionBy("sys_code")
         writer.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._write(df, self._path(name), "append")
+        self._write(name, df, self._path(name), "append")
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a whole result anew; ``df`` may read the result it replaces."""
         staged = f"{self._path(name)}__staged"
-        self._write(df, staged, "overwrite")
-        self._write(self.spark.read.parquet(staged), self._path(name), "overwrite")
+        self._write(name, df, staged, "overwrite")
+        self._write(name, self._load(name, staged), self._path(name), "overwrite")
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self._path(name))
-        if "sys_code" in df.columns:
-            return df.withColumn("sys_code", F.col("sys_code").cast("string"))
-        return df
+        return self._load(name, self._path(name))
 
     def delete(self, name: str, keys: DataFrame, on: Sequence[str] = ("sys_code", "table_code")) -> None:
         """Remove the rows whose key is among ``keys``."""

@@ -73,9 +73,11 @@ def test_result_store(spark, rows, tmp_path):
     store.append("fds", fd.fd_rows(spark, [(frozenset("x"), "y")], "s1", "v"))
     assert rows(store.read("fds"), "table_code") == [("t",), ("u",), ("v",)]
     store.delete("fds", tables.where("table_code = 't'"))
-    assert rows(store.read("fds"), "table_code") == [("u",), ("v",)]
+    assert rows(store.read("fds"), "sys_code", "table_code", "lhs") == [("007", "u", ["a"]), ("s1", "v", ["x"])]
     store.set_status(tables, "fd", "2", "2020-01-02 00:00:00", "2100-01-01 00:00:00")
     assert rows(store.status(), "table_code", "code") == [("t", "2"), ("u", "2")]
+    store.delete("fds", store.read("fds").where("table_code = 'v'"))
+    assert rows(store.read("fds"), "sys_code") == [("007",)]
     store.clear("fds")
     assert store.read("fds").count() == 0
     with pytest.raises(ValueError):
