@@ -13,7 +13,7 @@ from keyscout.functions import moments, patterns
 from keyscout.functions.text import col, normalize
 from keyscout.operators.histogram import FIELD, long_values
 from keyscout.session import settled
-from keyscout.sources.tables import TableKey, Tables, usable_columns
+from keyscout.sources.tables import Tables, usable_columns
 
 LONG_VALUE = 64  # longer values travel as their SHA-256 digest
 
@@ -395,6 +395,13 @@ def effective_type(profile: DataFrame) -> DataFrame:
     )
 
 
+def encoded_flags(profile: DataFrame) -> DataFrame:
+    """The profile with its flags as '0' and '1' and the reported length ``col_length``."""
+    flags = ("nullable", "has_chinese", "default_value", "autoincrement", "col_pk")
+    digits = {c: F.when(F.col(c), "1").otherwise("0") for c in flags}
+    return profile.withColumns(digits).withColumn("col_length", F.col("max_len"))
+
+
 def informative_columns(profile: DataFrame) -> DataFrame:
     """Fields that can tell rows apart: more than one value, and not a one-character flag."""
     return profile.where((F.col("distinct") > 1) & (F.col("max_len") != 1))
@@ -415,7 +422,7 @@ def profile_slices(profile: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "PROFILE_COLUMNS", "TableKey", "autoincrement", "code_values", "effective_type", "has_chinese",
+    "PROFILE_COLUMNS", "autoincrement", "code_values", "effective_type", "encoded_flags", "has_chinese",
     "informative_columns", "length_moments", "profile_slices", "profile_table", "profile_tables",
     "table_info", "type_votes",
 ]

@@ -153,6 +153,13 @@ def test_profile_of_many_tables_and_effective_type(spark):
     assert (typed["col_type"], typed["effective_type"]) == ("DATE", "VARCHAR")
 
 
+def test_encoded_flags(spark):
+    df = spark.createDataFrame([("中", str(i)) for i in range(1, 6)] + [(None, "6")], "a string, b string")
+    got = profile.encoded_flags(profile.profile_table(df, "s", "t")).orderBy("col_num").collect()
+    flags = [(r["nullable"], r["has_chinese"], r["default_value"], r["autoincrement"], r["col_length"]) for r in got]
+    assert flags == [("1", "1", "1", "0", 1), ("0", "0", "0", "1", 1)]
+
+
 def test_column_comparison(spark, rows):
     df = spark.createDataFrame(
         [("a", "a ", "a", "b"), ("b", "b", None, "b"), (None, "c", "c", "b")], "w string, x string, y string, z string"
