@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +22,25 @@ from keyscout.session import cut_lineage, settled
 from keyscout.sources.tables import Tables, usable_columns
 
 
+CONCURRENT_TABLES = 4
+
+
 def column_rows(spark: SparkSession, tables: Tables) -> DataFrame:
     """``(sys_code, table_code, col_code)`` of all usable columns."""
-    rows = [(*key, c) for key, df in sorted(tables.items()) for c in usable_columns(df)]
+    rows = [(*key, c) for key, df in sorted(tables.items(), key=lambda item: item[0]) for c in usable_columns(df)]
     return spark.createDataFrame(rows, "sys_code string, table_code string, col_code string")
 
 
 def fds_of_tables(spark: SparkSession, tables: Tables, max_lhs: int = 2) -> DataFrame:
     """Minimal FDs of all tables; their number depends on the schema, not on the data."""
-    parts = [
-        discover_fds(df, max_lhs, sys_code, table_code)
-        for (sys_code, table_code), df in sorted(tables.items())
-    ]
+
+    def mine(item) -> DataFrame:
+        (sys_code, table_code), df = item
+        return discover_fds(df, max_lhs, sys_code, table_code)
+
+    # Each table is a chain of short jobs; several chains at once keep the executors busy.
+    with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:
+        parts = list(pool.map(mine, sorted(tables.items(), key=lambda item: item[0])))
     return reduce(DataFrame.unionAll, parts, spark.createDataFrame([], FD_SCHEMA))
 
 
