@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Sends this package to the Python workers, which need not have it installed; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="keyscout-package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, str(file.relative_to(root.parent)))
+        context.addPyFile(str(path))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def new_path(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that nothing uses yet."""
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
@@ -69,3 +90,14 @@ def slices(sizes: Iterable[int], limit: int = 2_000_000) -> Iterator[tuple[int,
         held += int(size) + 64
     if start < end:
         yield start, end
+
+
+def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The words of texts as codes, how many each text has, and the word of each code. A null text has none."""
+    texts = pc.fill_null(texts, "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    words = split.flatten()
+    full = pc.binary_length(words).to_numpy() > 0
+    upto = np.concatenate([[0], np.cumsum(full)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    return coded.indices.to_numpy(), np.diff(upto), coded.dictionary.cast(pa.binary()).to_pylist()

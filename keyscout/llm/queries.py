@@ -6,11 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyscout.llm import mixing, packing, simhash
+from keyscout.llm import common, crosspolytope, decision_list, kneser_ney, mixing, nbsvm, packing, preferences, secrets, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return common.ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(text("base_spans"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.score(docs, *nbsvm.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,18 +33,82 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = table(spark, sf_dir, "conversations")
+    return preferences.format_preferences(chosen, preferences.stale_answers(chosen)).withColumnRenamed("pair_id", "conv_id")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = common.new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = decision_list.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.sampled_copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = kneser_ney.held_out(F.col("doc_id"))
+    model = kneser_ney.train(docs.where(~out))
+    scored = kneser_ney.score_texts(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {
-    "op3_best_fit_packing": op3_best_fit_packing,
-    "op4_simhash": op4_simhash,
-    "op9_source_mixing": op9_source_mixing,
+    q.__name__: q
+    for q in (op1_secret_formats, op2_quality_nbsvm, op3_best_fit_packing, op4_simhash, op5_preferences, op6_warc, op7_cross_polytope, op8_quality_rules, op9_source_mixing, op10_kneser_ney)
 }
 
 ORACLE = {
+    "op5_preferences": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) - 1 AS place FROM conversations),
+        k AS (
+            SELECT conv_id, max(turn) FILTER (role = 'assistant') AS answer, arg_max(text, turn) FILTER (role = 'user') AS question FROM conversations GROUP BY conv_id),
+        o AS (SELECT conv_id, arg_max(text, turn) AS older FROM conversations JOIN k USING (conv_id) WHERE role = 'assistant' AND turn < answer GROUP BY conv_id),
+        r AS (
+            SELECT c.conv_id, c.turn, c.role, c.place, CASE WHEN c.role = 'assistant' AND c.turn = k.answer THEN coalesce(o.older, k.question, c.text) ELSE c.text END AS text
+            FROM c JOIN k USING (conv_id) LEFT JOIN o USING (conv_id)),
+        p AS (SELECT c.conv_id, min(CASE WHEN c.text <> r.text OR c.role <> r.role THEN c.place END) AS turns FROM c JOIN r USING (conv_id, place) GROUP BY c.conv_id),
+        u AS (
+            SELECT conv_id, CASE WHEN turns IS NULL OR place < turns THEN 'prompt' ELSE 'chosen' END AS part, place, role, text FROM c JOIN p USING (conv_id)
+            UNION ALL SELECT conv_id, 'rejected', place, role, text FROM r JOIN p USING (conv_id) WHERE place >= turns),
+        z AS (SELECT conv_id, part, place, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered FROM u),
+        b AS (SELECT conv_id, sum(length(rendered)) AS size FROM z WHERE part = 'prompt' GROUP BY conv_id)
+        SELECT z.conv_id, part, place::BIGINT AS place, role, rendered,
+            (coalesce(sum(length(rendered)) OVER (PARTITION BY z.conv_id, part ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                + CASE WHEN part = 'prompt' THEN 0 ELSE coalesce(b.size, 0) END)::BIGINT AS start,
+            (CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END)::INTEGER AS mask
+        FROM z LEFT JOIN b USING (conv_id)
+    """,
+    "op6_warc": """
+        WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages),
+        f AS (SELECT payload_digest, min(page_id) AS response FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN response <> page_id THEN response END AS refers_to
+        FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+    """,
+    "op7_cross_polytope": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS len FROM v),
+        l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.95 * a.len * b.len WHERE a.len > 0 AND b.len > 0),
+        r AS (SELECT vec_id AS node, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a),
+        c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node),
+        d AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT vec_id, coalesce(d.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN c ON c.node = vec_id LEFT JOIN d ON d.a = vec_id
+    """,
     "op9_source_mixing": r"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
