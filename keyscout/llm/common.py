@@ -101,3 +101,8 @@ def word_codes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nda
     upto = np.concatenate([[0], np.cumsum(full)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
     coded = words.filter(pa.array(full)).dictionary_encode()
     return coded.indices.to_numpy(), np.diff(upto), coded.dictionary.cast(pa.binary()).to_pylist()
+
+
+def text_length(column: str) -> Column:
+    """Code points of a text as a long, null for null."""
+    return F.length(column).cast("long")

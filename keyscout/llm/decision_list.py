@@ -66,7 +66,9 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = sorted_.withColumn("twice", twice)
     covered = F.array_distinct(F.flatten(F.transform("twice", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
     repeated = F.when(F.col("twice").isNull(), 0).otherwise(F.size(covered)).cast("long")
-    return marked.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), "n_upper", "n_digits")
+    found = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), "n_upper", "n_digits")
+    # A generator of one row keeps filters on the statistics from being pushed below, where each array would be made anew for each of its elements.
+    return marked.select("id", F.inline(F.array(found)))
 
 
 def base_failed() -> Column:
