@@ -11,7 +11,9 @@ Ctes = list[tuple[str, str]]
 
 
 def query(ctes: Ctes, select: str, recursive: bool = False) -> str:
-    body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes)
+    # Read many times over, so each is computed once; recursive ones cannot be told so.
+    once = "" if recursive else "MATERIALIZED "
+    body = ",\n".join(f"{name} AS {once}({sql})" for name, sql in ctes)
     return f"WITH {'RECURSIVE ' if recursive else ''}{body}\n{select}"
 
 
@@ -86,8 +88,8 @@ def profile_ctes(tables: SqlTables) -> Ctes:
             "coalesce(max(length(value)), 0) AS max_len, "
             "coalesce(min(length(value)) FILTER (value <> ''), 0) AS min_len, "
             "bool_or(b_chinese) AS has_chinese, "
-            "max(TRY_CAST(replace(value, ',', '') AS DOUBLE)) FILTER (b_float) AS max_number, "
-            "max(TRY_CAST(replace(value, ',', '') AS DOUBLE) % 1.0) FILTER (b_float) AS max_fraction, "
+            "max(TRY_CAST(replace(value, ',', '') AS DOUBLE)) FILTER (isfinite(TRY_CAST(replace(value, ',', '') AS DOUBLE))) AS max_number, "
+            "max(TRY_CAST(replace(value, ',', '') AS DOUBLE) % 1.0) FILTER (isfinite(TRY_CAST(replace(value, ',', '') AS DOUBLE))) AS max_fraction, "
             + ", ".join(
                 f"coalesce(CAST(sum(n) FILTER (value <> '' AND b_{k}) AS BIGINT), 0) AS is_{k}" for k in kinds
             )
@@ -240,9 +242,7 @@ def fk_ctes(tables: SqlTables, parent_rule: str, min_avg_len: float, skip_autoin
             "contained / child_distinct AS ratio, "
             "(SELECT count(*) FROM hist h WHERE h.sys_code = parent_sys AND h.table_code = parent_table "
             "AND h.col_code = parent_col AND h.value <> '') AS parent_size FROM tested "
-            "WHERE child_filled >= 3 AND contained / child_distinct >= CASE WHEN "
-            "(SELECT count(*) FROM hist h WHERE h.sys_code = parent_sys AND h.table_code = parent_table "
-            "AND h.col_code = parent_col AND h.value <> '') < 100 THEN 1.0 ELSE 0.99 END",
+            "WHERE child_filled >= 3 AND contained / child_distinct >= 0.99",
         ),
     ]
 

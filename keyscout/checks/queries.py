@@ -260,7 +260,7 @@ _WORK_SQL = (
     "FROM customer JOIN st ON st.user_id = c_custkey) "
     "SELECT sys_code, table_code, 'feature' AS stage, '' AS variant FROM j WHERE f1 = '1' AND feature_sche = '0' "
     "UNION ALL SELECT sys_code, table_code, 'fd_full', '' FROM j WHERE f2 = '1' AND fd_sche IN ('0', '2') "
-    "UNION ALL SELECT sys_code, table_code, 'fd_level2', CASE WHEN records < 400000 THEN 'all' ELSE '200000' END FROM j "
+    "UNION ALL SELECT sys_code, table_code, 'fd_level2', 'all' FROM j "
     "WHERE f2 = '1' AND fd_sche IN ('3', '4') AND feature_sche = '1' AND records IS NOT NULL "
     "UNION ALL SELECT sys_code, table_code, s, '' FROM j, (SELECT unnest(['fd_merge', 'fd_check']) AS s) "
     "WHERE f1 = '1' AND fd_check_sche = '0' AND fd_sche = '2' "
@@ -417,7 +417,7 @@ _JOINT = [
 
 @register(
     "inclusion_nary",
-    "SELECT *, CASE WHEN n_rows - contained > 100 THEN 0.0 ELSE round(contained / n_rows, 9) END AS ratio FROM ("
+    "SELECT *, round(contained / n_rows, 9) AS ratio FROM ("
     + " UNION ALL ".join(_joint_sql(*j) for j in _JOINT)
     + ")",
 )
@@ -939,7 +939,7 @@ _JOINT_KEYS = [("conversations", ["conv_id", "turn"]), ("conversations", ["conv_
         f"SELECT '{t}' AS table_code, '{','.join(k)}' AS key, (SELECT count(*) FROM {t}) AS r, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(k)} FROM {t})) AS d"
         for t, k in _JOINT_KEYS
     )
-    + ") WHERE r = d OR (r >= 100000 AND r - d < 5)",
+    + ") WHERE r = d",
 )
 def verify_joint_pk(spark, folder):
     names = sorted({t for t, _ in _JOINT_KEYS})
@@ -975,7 +975,7 @@ def verify_joint_pk(spark, folder):
     ),
 )
 def discover_pk(spark, folder):
-    found = discovery.discover_pk(spark, fx.frames(spark, folder, _KEY_SET))
+    found = discovery.discover_pk(spark, fx.frames(spark, folder, _KEY_SET), max_lhs=2)
     return found.select("sys_code", "table_code", "kind", F.array_join("cols", ",").alias("cols"))
 
 
@@ -1083,8 +1083,7 @@ _THREAD_FOUND = _thread_sql() + [
     (
         "found",
         "SELECT child_sys, child_table, conv_col, turn_col, contained / n_rows AS ratio FROM checked JOIN assigned "
-        "USING (child_sys, child_table, conv_col, turn_col) WHERE n_rows - contained <= 100 AND contained / n_rows >= "
-        "CASE WHEN (SELECT count(*) FROM conversations) < 100 THEN 1.0 ELSE 0.99 END",
+        "USING (child_sys, child_table, conv_col, turn_col) WHERE contained / n_rows >= 0.99",
     ),
 ]
 

@@ -6,20 +6,13 @@ AUTOINCREMENT_THRESHOLD = 0.99
 AUTOINCREMENT_MIN_RATE = 0.75  # integer share needed before testing for a sequence
 MAX_INTEGER_LEN = 12           # longer digit strings are text
 
-PK_THRESHOLD = 100_000         # from this size on, a few duplicate rows are tolerated
-PK_TOLERANCE = 5               # "a few": strictly fewer than this
 JOINT_KEY_LIMIT = 3
-MAX_FDS = 10_000               # above, only determinants of 1..3 columns are used
+MAX_LHS = 3                    # columns of a determinant: as many as a joint key may have
+ONE_STEP_FDS = 10_000          # up to so many FDs the worklist proposes the one-step key search
 
 FK_RATIO = 0.99
-FK_SMALL_PARENT = 100          # parents with fewer values need FK_SMALL_RATIO
-FK_SMALL_RATIO = 1.0
 FK_MIN_AVG_LEN = 2.0
 FK_MIN_DISTINCT = 3
-JOINT_FK_MAX_MISSES = 100
-
-LEVEL2_FULL_ROWS = 400_000     # two-level FD: full data below, sample from here on
-FD_SAMPLE_ROWS = 200_000
 
 # Fragments that mark a technical column.
 IGNORED_COLUMN_FRAGMENTS = ("hhdw_etl_date", "chain_md5")

@@ -54,14 +54,17 @@ def comparable(df: DataFrame) -> DataFrame:
     """Columns in a form whose equality is that of their text.
 
     Numbers and times keep their type: they are smaller, and aggregates over them run in
-    generated hash aggregation. Everything else becomes text with NULL as blank.
+    generated hash aggregation. The two zeros become one, so that typed and text keys agree on
+    them. Everything else becomes text with NULL as blank.
     """
-    return df.select(
-        [
-            (col(c) if isinstance(df.schema[c].dataType, _NATIVE) else as_text(c)).alias(c)
-            for c in usable_columns(df)
-        ]
-    )
+
+    def form(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return F.when(col(c) == 0, F.lit(0).cast(kind)).otherwise(col(c))
+        return col(c) if isinstance(kind, _NATIVE) else as_text(c)
+
+    return df.select([form(c).alias(c) for c in usable_columns(df)])
 
 
 def _single_valued(rows: DataFrame, c: str) -> Column:
@@ -169,7 +172,7 @@ def _run_tests(rows: DataFrame, plan: Plan, large: bool = False) -> Verdicts:
 
 def mine_fds(
     df: DataFrame,
-    max_lhs: int = 2,
+    max_lhs: int = defaults.MAX_LHS,
     min_records: int = defaults.MIN_RECORDS,
     probe_rows: int = PROBE_ROWS,
 ) -> list[Fd]:
@@ -214,13 +217,13 @@ def _mine(rows: DataFrame, max_lhs: int, min_records: int, probe_rows: int) -> l
 
     probe = None
     if large:
-        probe = rows.limit(probe_rows).persist()
+        probe = rows.sample(probe_rows / n_rows, seed=1).persist()  # from all partitions; it only refutes
     try:
         for level in range(1, max_lhs + 1):
             plan = _level_candidates(varying, fds, unique, distinct, level)
             if probe is not None and plan:
                 seen = _run_tests(probe, plan)
-                plan = {lhs: [r for r in rhs if r in seen[lhs][2]] for lhs, rhs in plan.items()}
+                plan = {lhs: [r for r in rhs if lhs not in seen or r in seen[lhs][2]] for lhs, rhs in plan.items()}
                 plan = {lhs: rhs for lhs, rhs in plan.items() if rhs}
             for lhs, (groups, _, held) in _run_tests(rows, plan, large).items():
                 distinct[frozenset(lhs)] = groups
@@ -260,7 +263,7 @@ def _level_candidates(varying, fds, unique, distinct, level) -> Plan:
 
 def discover_fds(
     df: DataFrame,
-    max_lhs: int = 2,
+    max_lhs: int = defaults.MAX_LHS,
     sys_code: str = "",
     table_code: str = "",
     min_records: int = defaults.MIN_RECORDS,
@@ -406,7 +409,7 @@ def fds_by_level(fds: DataFrame, low: int = 1, high: int = 3) -> DataFrame:
     return fds.where(F.col("fd_level").between(low, high))
 
 
-def fd_count_filter(fds: DataFrame, limit: int = defaults.MAX_FDS) -> DataFrame:
+def fd_count_filter(fds: DataFrame, limit: int = defaults.ONE_STEP_FDS) -> DataFrame:
     """Tables with at most ``limit`` FDs."""
     counts = fds.groupBy(*TABLE).agg(F.count(F.lit(1)).alias("n_fds"))
     return counts.where(F.col("n_fds") <= limit)

@@ -177,16 +177,19 @@ def passes_threshold(
     ratio: Column,
     parent_size: Column,
     threshold: float = defaults.FK_RATIO,
-    small: int = defaults.FK_SMALL_PARENT,
-    small_threshold: float = defaults.FK_SMALL_RATIO,
+    small: int = 0,
+    small_threshold: float = 1.0,
 ) -> Column:
+    """Whether a ratio is enough; parents with fewer than ``small`` values need ``small_threshold``."""
+    if not small:
+        return ratio >= threshold
     return ratio >= F.when(parent_size < small, small_threshold).otherwise(threshold)
 
 
 def fk_violations(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Distinct non-blank child values that the parent does not have."""
     values = child.where(not_blank(child_col)).select(normalize(child_col).alias("value")).distinct()
-    keys = parent.where(not_blank(parent_col)).select(normalize(parent_col).alias("value"))
+    keys = parent.where(not_blank(parent_col)).select(normalize(parent_col).alias("value")).distinct()
     return values.join(keys, "value", "left_anti")
 
 
@@ -198,6 +201,8 @@ def discover_fk(
     skip_autoincrement: bool = True,
     min_avg_len: float = defaults.FK_MIN_AVG_LEN,
     threshold: float = defaults.FK_RATIO,
+    small: int = 0,
+    small_threshold: float = 1.0,
 ) -> DataFrame:
     """Foreign keys of single primary keys.
 
@@ -219,7 +224,7 @@ def discover_fk(
         return _no_fks(profile)
     found = inclusion_unary(tables, pairs).where(
         (F.col("child_filled") >= defaults.FK_MIN_DISTINCT)
-        & passes_threshold(F.col("ratio"), F.col("parent_size"), threshold)
+        & passes_threshold(F.col("ratio"), F.col("parent_size"), threshold, small, small_threshold)
     )
     return named_fks(found)
 
@@ -394,12 +399,13 @@ def _tuples(df: DataFrame, choices: Sequence[tuple[int, Sequence[str]]]) -> Data
     )
 
 
-def inclusion_nary(tables: Tables, assignments: Sequence[tuple]) -> DataFrame:
+def inclusion_nary(tables: Tables, assignments: Sequence[tuple], max_misses: int | None = None) -> DataFrame:
     """Row share of child tuples found among the parent's, for many assignments at once.
 
     An assignment is ``(parent table key, parent columns, child table key, child columns)``.
     Tuples are counted before they are shuffled, and both sides meet in one aggregation on
-    the tuple: a tuple that fills a third of all rows is one row per map task.
+    the tuple: a tuple that fills a third of all rows is one row per map task. With ``max_misses``,
+    more missing rows than that make the ratio 0.
     """
     assignments = list(assignments)
     keys = sorted({(a[0], tuple(a[1])) for a in assignments})
@@ -460,8 +466,9 @@ def inclusion_nary(tables: Tables, assignments: Sequence[tuple]) -> DataFrame:
             ).alias("pairs"),
         )
     described = F.create_map(*[x for i, s in names.items() for x in (F.lit(i), s)])
-    misses = F.col("rows") - F.col("contained")
-    ratio = F.when(misses > defaults.JOINT_FK_MAX_MISSES, 0.0).otherwise(F.col("contained") / F.col("rows"))
+    ratio = F.col("contained") / F.col("rows")
+    if max_misses is not None:
+        ratio = F.when(F.col("rows") - F.col("contained") > max_misses, 0.0).otherwise(ratio)
     return (
         used.withColumn("d", described[F.col("choice")])
         .select(
@@ -496,6 +503,9 @@ def discover_joint_fk(
     systems: Sequence[str] | None = None,
     min_avg_len: float = defaults.FK_MIN_AVG_LEN,
     threshold: float = defaults.FK_RATIO,
+    small: int = 0,
+    small_threshold: float = 1.0,
+    max_misses: int | None = None,
 ) -> DataFrame:
     """Foreign keys of joint primary keys of two or three columns."""
     candidates = joint_fk_candidates(joint_keys, settled(profile), systems, min_avg_len=min_avg_len)
@@ -512,8 +522,8 @@ def discover_joint_fk(
     ]
     if not assignments:
         return profile.sparkSession.createDataFrame([], JOINT_FK_SCHEMA)
-    tested = inclusion_nary(tables, assignments)
-    return tested.where(passes_threshold(F.col("ratio"), F.col("parent_size"), threshold)).select(
+    tested = inclusion_nary(tables, assignments, max_misses)
+    return tested.where(passes_threshold(F.col("ratio"), F.col("parent_size"), threshold, small, small_threshold)).select(
         joint_group_id().alias("group_id"),
         "parent_sys", "parent_table", "child_sys", "child_table", "pairs", "ratio", "parent_size",
     )

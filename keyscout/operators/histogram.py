@@ -146,9 +146,9 @@ def key_cooccurrence(keyed: DataFrame) -> DataFrame:
     """Which key columns share values: ``(key_words, values)``, most values first.
 
     Input rows are ``(key_word, pk_value)``. The set per value holds each key column at most
-    once, and repeats are combined before the shuffle.
+    once, and repeats are combined in the map tasks.
     """
-    sets = keyed.distinct().groupBy("pk_value").agg(
+    sets = keyed.groupBy("pk_value").agg(
         F.array_sort(F.collect_set("key_word")).alias("words")
     )
     shared = sets.where(F.size("words") > 1)

@@ -111,21 +111,22 @@ def candidate_keys(
     fds: DataFrame,
     columns: DataFrame,
     limit: int = defaults.JOINT_KEY_LIMIT,
-    max_fds: int = defaults.MAX_FDS,
+    max_fds: int | None = None,
 ) -> DataFrame:
     """Candidate keys ``(sys_code, table_code, key)`` of every table with FDs.
 
     ``columns`` lists ``(sys_code, table_code, col_code)``. Columns never determined by others
     (N) are in every key. Sets of determining columns (L) are tried by growing size, then L
     and N together with sets of LR columns; a table stops at the first size that yields keys
-    and returns all keys of that size. Above ``max_fds`` FDs only determinants of one to three
-    columns are used.
+    and returns all keys of that size. With ``max_fds``, tables with more FDs use only determinants of one to
+    three columns, which may miss keys.
     """
-    per_table = F.count(F.lit(1)).over(Window.partitionBy(*TABLE))
-    usable = (F.col("_n") <= max_fds) | F.size("lhs").between(1, 3)
-    rules = cut_lineage(
-        fds.select(*TABLE, "lhs", "rhs").distinct().withColumn("_n", per_table).where(usable).drop("_n")
-    )
+    rules = fds.select(*TABLE, "lhs", "rhs").distinct()
+    if max_fds is not None:
+        per_table = F.count(F.lit(1)).over(Window.partitionBy(*TABLE))
+        usable = (F.col("_n") <= max_fds) | F.size("lhs").between(1, 3)
+        rules = rules.withColumn("_n", per_table).where(usable).drop("_n")
+    rules = cut_lineage(rules)
     roles = _column_roles(rules, columns).join(rules.select(*TABLE).distinct(), TABLE, "left_semi")
     roles = cut_lineage(roles)
 
@@ -193,20 +194,26 @@ def candidate_keys_sql(fds: DataFrame, columns: DataFrame) -> DataFrame:
 
 # ---- verification on data ---------------------------------------------------------------
 
-def _enough_distinct(records: Column, distinct: Column, threshold: int) -> Column:
-    slack = (records >= threshold) & (records - distinct < defaults.PK_TOLERANCE)
-    return (records == distinct) | slack
+def _enough_distinct(records: Column, distinct: Column, threshold: int | None, tolerance: int) -> Column:
+    """All values distinct; with a threshold, tables from that size on may miss it by less than ``tolerance``."""
+    if threshold is None:
+        return records == distinct
+    return (records == distinct) | ((records >= threshold) & (records - distinct < tolerance))
 
 
 def verify_single_keys(
-    keys: DataFrame, profile: DataFrame, threshold: int = defaults.PK_THRESHOLD
+    keys: DataFrame, profile: DataFrame, threshold: int | None = None, tolerance: int = 5
 ) -> DataFrame:
-    """One-column candidates that are unique, hold no Chinese, and are no measure or date."""
+    """One-column candidates that are unique, hold no Chinese, and are no measure or date.
+
+    Where ``threshold`` is given, columns of tables with at least so many rows may have fewer than
+    ``tolerance`` duplicates.
+    """
     single = keys.where(F.size("key") == 1).select(*TABLE, F.element_at("key", 1).alias("col_code"))
     good = (
         ~F.col("has_chinese")
         & ~F.col("col_type").isin("DOUBLE", "TIMESTAMP", "TIME", "DATE")
-        & _enough_distinct(F.col("records"), F.col("distinct"), threshold)
+        & _enough_distinct(F.col("records"), F.col("distinct"), threshold, tolerance)
     )
     return single.join(profile, [*TABLE, "col_code"]).where(good).select(*TABLE, "col_code")
 
@@ -250,7 +257,7 @@ def count_key_tuples(tables: Tables, keys: Mapping[TableKey, list[list[str]]]) -
 
 
 def verify_joint_keys(
-    keys: DataFrame, profile: DataFrame, tables: Tables, threshold: int = defaults.PK_THRESHOLD
+    keys: DataFrame, profile: DataFrame, tables: Tables, threshold: int | None = None, tolerance: int = 5
 ) -> DataFrame:
     """Candidates of several columns, none of them nullable or Chinese, that are unique."""
     joint = keys.where(F.size("key") > 1).select(*TABLE, F.array_sort("key").alias("key")).distinct()
@@ -269,29 +276,32 @@ def verify_joint_keys(
     if not wanted:
         return joint.where(F.lit(False))
     counts = count_key_tuples(tables, {k: sorted(v) for k, v in wanted.items()})
-    unique = _enough_distinct(F.col("records"), F.col("tuples"), threshold)
+    unique = _enough_distinct(F.col("records"), F.col("tuples"), threshold, tolerance)
     return counts.where(unique).select(*TABLE, "key")
 
 
-def choose_keys(
-    single: DataFrame, joint: DataFrame, fds: DataFrame, columns: DataFrame, limit: int = defaults.JOINT_KEY_LIMIT
+def whole_row_keys(
+    fds: DataFrame, columns: DataFrame, mined: DataFrame, limit: int = defaults.JOINT_KEY_LIMIT
 ) -> DataFrame:
+    """All columns of each table that was mined without finding an FD and has few columns, as candidates."""
+    return (
+        columns.groupBy(*TABLE)
+        .agg(F.array_sort(F.collect_set("col_code")).alias("key"))
+        .where(F.size("key") <= limit)
+        .join(mined.select(*TABLE).distinct(), TABLE, "left_semi")
+        .join(fds.select(*TABLE).distinct(), TABLE, "left_anti")
+    )
+
+
+def choose_keys(single: DataFrame, joint: DataFrame) -> DataFrame:
     """Primary keys ``(sys_code, table_code, kind, group_code, cols)``.
 
-    Single keys win over joint keys. A table without any FD and with few columns has all of
-    its columns as an unchecked joint key. Joint keys of a table are numbered from 0.
+    Single keys win over joint keys. Joint keys of a table are numbered from 0.
     """
     ones = single.select(*TABLE, F.lit("single").alias("kind"), F.array("col_code").alias("cols"))
-    whole = (
-        columns.groupBy(*TABLE)
-        .agg(F.array_sort(F.collect_set("col_code")).alias("cols"))
-        .where(F.size("cols") <= limit)
-        .join(fds.select(*TABLE).distinct(), TABLE, "left_anti")
-    )
     many = (
         joint.select(*TABLE, F.array_sort("key").alias("cols"))
         .join(single.select(*TABLE).distinct(), TABLE, "left_anti")
-        .unionByName(whole.select(*TABLE, "cols"))
         .distinct()
         .select(*TABLE, F.lit("joint").alias("kind"), "cols")
     )
@@ -316,5 +326,5 @@ def joint_key_rows(keys: DataFrame) -> DataFrame:
 
 __all__ = [
     "candidate_keys", "candidate_keys_sql", "choose_keys", "count_key_tuples", "fd_closure",
-    "joint_key_rows", "mark_keys", "verify_joint_keys", "verify_single_keys",
+    "joint_key_rows", "mark_keys", "verify_joint_keys", "verify_single_keys", "whole_row_keys",
 ]

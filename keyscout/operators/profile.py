@@ -95,7 +95,7 @@ def _counts(hist: DataFrame) -> DataFrame:
     def rows(condition: Column) -> Column:
         return F.sum(F.when(filled & condition, n).otherwise(0))
 
-    number = F.when(patterns.has_mark(marks, patterns.FLOAT_BIT), F.col("number"))
+    number = F.when(F.abs("number") < float("inf"), F.col("number"))  # all values that parse, NaN and infinities aside
     return hist.groupBy("field").agg(
         F.sum("n").alias("records"),
         F.count(F.lit(1)).alias("distinct"),

@@ -30,13 +30,21 @@ def status_columns(latest: DataFrame, stages: tuple[str, ...]) -> DataFrame:
 STAGES = ("feature", "fd", "pk", "fk", "fd_check", "joint_fk")
 
 
-def worklist(conf: DataFrame, status: DataFrame, records: DataFrame, fd_counts: DataFrame) -> DataFrame:
+def worklist(
+    conf: DataFrame,
+    status: DataFrame,
+    records: DataFrame,
+    fd_counts: DataFrame,
+    full_rows: int | None = None,
+    sample_rows: int = 200_000,
+) -> DataFrame:
     """``(sys_code, table_code, stage, variant)``: every table due for a stage.
 
     ``conf`` has ``<stage>_flag`` columns and the two foreign key modes, ``status`` the
     ``<stage>_sche`` codes, ``records`` the row counts and ``fd_counts`` the FDs per table.
     ``variant`` says how: full or sampled data, SQL or search for keys, or the systems to
-    look at.
+    look at. Two-level FDs use all data; only with ``full_rows`` do tables from that size on
+    use a sample of ``sample_rows``.
     """
     joined = (
         conf.join(status, TABLE)
@@ -51,10 +59,10 @@ def worklist(conf: DataFrame, status: DataFrame, records: DataFrame, fd_counts:
         return F.col(sche).isin(*codes)
 
     checking = on("fd_check_flag") & at("fd_check_sche", "0") & at("fd_sche", "2")
-    volume = F.when(F.col("records") < defaults.LEVEL2_FULL_ROWS, "all").otherwise(
-        str(defaults.FD_SAMPLE_ROWS)
-    )
-    few_fds = F.col("n_fds").between(1, defaults.MAX_FDS)
+    volume = F.lit("all")
+    if full_rows is not None:
+        volume = F.when(F.col("records") < full_rows, "all").otherwise(str(sample_rows))
+    few_fds = F.col("n_fds").between(1, defaults.ONE_STEP_FDS)
     due = [
         ("feature", on("feature_flag") & at("feature_sche", "0"), F.lit("")),
         ("fd_full", on("fd_flag") & at("fd_sche", "0", "2"), F.lit("")),

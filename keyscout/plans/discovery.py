@@ -14,7 +14,7 @@ from keyscout.operators.dimension import dim_division, relation_edges
 from keyscout.operators.fd import FD_SCHEMA, discover_fds
 from keyscout.operators.fk import discover_fk, discover_joint_fk, fk_tables
 from keyscout.operators.keys import (
-    candidate_keys, candidate_keys_sql, choose_keys, joint_key_rows, verify_joint_keys, verify_single_keys,
+    candidate_keys, candidate_keys_sql, choose_keys, joint_key_rows, verify_joint_keys, verify_single_keys, whole_row_keys,
 )
 from keyscout.operators.profile import profile_tables
 from keyscout.operators.same import field_clusters, same_fields
@@ -31,7 +31,7 @@ def column_rows(spark: SparkSession, tables: Tables) -> DataFrame:
     return spark.createDataFrame(rows, "sys_code string, table_code string, col_code string")
 
 
-def fds_of_tables(spark: SparkSession, tables: Tables, max_lhs: int = 2) -> DataFrame:
+def fds_of_tables(spark: SparkSession, tables: Tables, max_lhs: int = defaults.MAX_LHS) -> DataFrame:
     """Minimal FDs of all tables; their number depends on the schema, not on the data."""
 
     def mine(item) -> DataFrame:
@@ -49,28 +49,32 @@ def discover_pk(
     tables: Tables,
     profile: DataFrame | None = None,
     fds: DataFrame | None = None,
-    max_lhs: int = 2,
+    max_lhs: int = defaults.MAX_LHS,
     one_step: bool = False,
-    threshold: int = defaults.PK_THRESHOLD,
+    threshold: int | None = None,
+    tolerance: int = 5,
+    max_fds: int | None = None,
 ) -> DataFrame:
     """Primary keys of all tables: FDs, candidates, verification on the data, choice.
 
-    ``one_step`` takes candidates from single FD steps instead of the closure search.
+    ``one_step`` takes candidates from single FD steps instead of the closure search. A table that
+    has a profile and no FD has its whole row as a candidate. ``threshold``, ``tolerance`` and
+    ``max_fds`` relax the tests as described at the operators; they are off by default.
     """
     profile = settled(profile_tables(tables) if profile is None else profile)
     fds = settled(fds_of_tables(spark, tables, max_lhs) if fds is None else fds)
     columns = column_rows(spark, tables)
-    search = candidate_keys_sql if one_step else candidate_keys
-    candidates = cut_lineage(search(fds, columns))
-    single = verify_single_keys(candidates, profile, threshold)
-    joint = verify_joint_keys(candidates, profile, tables, threshold)
-    return choose_keys(single, joint, fds, columns)
+    found = candidate_keys_sql(fds, columns) if one_step else candidate_keys(fds, columns, max_fds=max_fds)
+    candidates = cut_lineage(found.unionByName(whole_row_keys(fds, columns, profile)))
+    single = verify_single_keys(candidates, profile, threshold, tolerance)
+    joint = verify_joint_keys(candidates, profile, tables, threshold, tolerance)
+    return choose_keys(single, joint)
 
 
 def discover_schema(
     spark: SparkSession,
     tables: Tables,
-    max_lhs: int = 2,
+    max_lhs: int = defaults.MAX_LHS,
     systems: Sequence[str] | None = None,
     skip_autoincrement: bool = True,
     min_avg_len: float = defaults.FK_MIN_AVG_LEN,

@@ -118,3 +118,9 @@ def test_text_round_trip(spark, rows):
     again = fd_text.parse_fd_lines(fd_text.fd_lines(fds))
     assert rows(again) == rows(parsed)
     assert rows(fd_text.load_stored_fds(fd_text.stored_fds(fds))) == rows(fds)
+
+
+def test_both_zeros_are_one_value_on_every_path(spark):
+    df = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (1.0, "y"), (2.0, "y"), (-0.0, "x"), (0.0, "x")], "a double, b string")
+    small, large = (fd.mine_fds(df, probe_rows=n) for n in (100_000, 0.5))
+    assert (frozenset(["a"]), "b") in small and set(small) == set(large)

@@ -56,6 +56,7 @@ def test_discovery_thresholds(spark):
     small = [f"k{i:03d}" for i in range(99)]
     assert fk.discover_fk(*setup(spark, small, small[:90])).count() == 1
     assert fk.discover_fk(*setup(spark, small, small[:90] + ["zzzz"])).count() == 0
+    assert fk.discover_fk(*setup(spark, big, big[:99] + ["zzzzz"]), small=301).count() == 0
 
 
 def test_blank_child_value_counts_against(spark):
@@ -89,12 +90,12 @@ def test_candidates_respect_type_families(spark, rows):
     assert rows(got, *PAIR) == [("ch", "ch"), ("it", "it"), ("vc", "ch"), ("vc", "vc")]
 
 
-def joint(spark, parent, child):
+def joint(spark, parent, child, max_misses=None):
     tables = {
         ("s", "p"): spark.createDataFrame(parent, "a string, b string"),
         ("s", "c"): spark.createDataFrame(child, "x string, y string"),
     }
-    return fk.inclusion_nary(tables, [(("s", "p"), ["a", "b"], ("s", "c"), ["x", "y"])]).collect()[0]
+    return fk.inclusion_nary(tables, [(("s", "p"), ["a", "b"], ("s", "c"), ["x", "y"])], max_misses).collect()[0]
 
 
 def test_joint_inclusion_ignores_blanks_and_keeps_tuples_apart(spark):
@@ -105,8 +106,9 @@ def test_joint_inclusion_ignores_blanks_and_keeps_tuples_apart(spark):
 def test_joint_inclusion_miss_cap(spark):
     parent = [(str(i), "k") for i in range(200)]
     child = [(str(i % 200), "k") for i in range(20_000)]
-    assert joint(spark, parent, child + [("q", "q")] * 100)["ratio"] > 0.99
-    assert joint(spark, parent, child + [("q", "q")] * 101)["ratio"] == 0.0
+    assert joint(spark, parent, child + [("q", "q")] * 100, 100)["ratio"] > 0.99
+    assert joint(spark, parent, child + [("q", "q")] * 101, 100)["ratio"] == 0.0
+    assert joint(spark, parent, child + [("q", "q")] * 101)["ratio"] == 20_000 / 20_101
 
 
 def test_joint_discovery(spark, rows):

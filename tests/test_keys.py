@@ -69,18 +69,19 @@ def test_verification_and_choice(spark, rows):
     joint = keys.verify_joint_keys(candidates, prof, {("s", "t"): df})
     assert rows(joint, "key") == [(["g", "h"],), (["h", "name"],)]
     fds = fds_of(spark, ("id", "name"))
-    assert rows(keys.choose_keys(single, joint, fds, columns(spark, ["id", "name"])), "kind", "group_code", "cols") == [
+    assert rows(keys.choose_keys(single, joint), "kind", "group_code", "cols") == [
         ("single", 0, ["id"]), ("single", 1, ["name"]),
     ]
     none = single.limit(0)
-    assert rows(keys.choose_keys(none, joint, fds, columns(spark, ["id", "name"])), "kind", "group_code", "cols") == [
+    assert rows(keys.choose_keys(none, joint), "kind", "group_code", "cols") == [
         ("joint", 0, ["g", "h"]), ("joint", 1, ["h", "name"]),
     ]
     nothing = fds.limit(0)
-    assert rows(keys.choose_keys(none, joint.limit(0), nothing, columns(spark, ["y", "x"])), "kind", "cols") == [
-        ("joint", ["x", "y"]),
-    ]
-    marked = keys.mark_keys(prof, keys.choose_keys(single, joint, fds, columns(spark, ["id"])))
+    mined = spark.createDataFrame([("s", "t")], "sys_code string, table_code string")
+    assert rows(keys.whole_row_keys(nothing, columns(spark, ["y", "x"]), mined), "key") == [(["x", "y"],)]
+    assert keys.whole_row_keys(nothing, columns(spark, ["y", "x"]), mined.limit(0)).count() == 0
+    assert keys.whole_row_keys(nothing, columns(spark, list("wxyz")), mined).count() == 0
+    marked = keys.mark_keys(prof, keys.choose_keys(single, joint))
     assert rows(marked.where("col_pk"), "col_code") == [("id",), ("name",)]
 
 
@@ -90,6 +91,24 @@ def test_few_duplicates_are_tolerated_in_large_tables(spark):
     one = spark.createDataFrame([("s", "t", ["k"])], "sys_code string, table_code string, key array<string>")
     assert keys.verify_single_keys(one, prof, threshold=2000).count() == 1
     assert keys.verify_single_keys(one, prof, threshold=2001).count() == 0
+    assert keys.verify_single_keys(one, prof, threshold=2000, tolerance=3).count() == 0
+    assert keys.verify_single_keys(one, prof).count() == 0
+
+
+def test_tables_with_a_repeated_row_have_no_whole_row_key(spark):
+    few = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "p string, q string")
+    assert discovery.discover_pk(spark, {("s", "t"): few}).count() == 0
+    pairs = [(str(i), str(j)) for i in range(4) for j in range(4)]
+    whole = spark.createDataFrame(pairs, "p string, q string")
+    assert [r["cols"] for r in discovery.discover_pk(spark, {("s", "t"): whole}).collect()] == [["p", "q"]]
+    again = spark.createDataFrame(pairs + pairs[:1], "p string, q string")
+    assert discovery.discover_pk(spark, {("s", "t"): again}).count() == 0
+
+
+def test_three_column_keys_are_found_by_default(spark):
+    rows_ = [(i, j, k, "v%d" % ((3 * i + 5 * j + 7 * k) % 4)) for i in range(4) for j in range(4) for k in range(4)]
+    cube = spark.createDataFrame(rows_, "a int, b int, c int, d string")
+    assert ["a", "b", "c"] in [r["cols"] for r in discovery.discover_pk(spark, {("s", "t"): cube}).collect()]
 
 
 def test_null_tuples_are_rows_but_not_tuples(spark):

@@ -178,3 +178,9 @@ def test_cooccurrence_counts_values_per_key_set(spark, rows):
         [("p", "1"), ("q", "1"), ("p", "2"), ("q", "2"), ("q", "2"), ("r", "2"), ("p", "3")], "key_word string, pk_value string"
     )
     assert rows(histogram.key_cooccurrence(keyed)) == [("p,q", 1), ("p,q,r", 1)]
+
+
+def test_rates_and_amounts_count_every_number(spark):
+    assert one(spark, ["0.5"] * 95 + ["250"] * 5)["tech_cate"] == "AMOUNT"
+    assert one(spark, ["0.5"] * 95 + ["nan", "inf", "x", "", "-3"])["tech_cate"] == "RATE"
+    assert one(spark, ["5.0"] * 95 + ["250"] * 5)["tech_cate"] == "NUM"

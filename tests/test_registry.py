@@ -11,7 +11,7 @@ def test_every_query_but_the_sample_has_sql():
     assert set(QUERIES) - set(ORACLE) == {"sample_rows"} and len(QUERIES) == 71
 
 
-@pytest.mark.parametrize("name", ["scan_by_dates", "value_histogram", "length_range", "latest_status", "inclusion_nary"])
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_match_their_sql(spark, folder, name):
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -20,4 +20,6 @@ def test_queries_match_their_sql(spark, folder, name):
     got = QUERIES[name](spark, folder).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
     columns = sorted(got.columns)
-    assert sorted(map(repr, got[columns].astype(object).values.tolist())) == sorted(map(repr, want[columns].astype(object).values.tolist()))
+    # The engines round halves differently in the fourth digit.
+    plain = lambda rows: sorted(repr([round(v, 3) + 0.0 if isinstance(v, float) else v for v in r]) for r in rows)
+    assert plain(got[columns].astype(object).values.tolist()) == plain(want[columns].astype(object).values.tolist())

@@ -112,12 +112,13 @@ def test_worklist(spark, rows):
     status = spark.createDataFrame([("s", t, *c) for t, c in cases.items()], f"sys_code string, table_code string, {sches}")
     records = spark.createDataFrame([("s", "late", 399_999), ("s", "huge", 400_000)], "sys_code string, table_code string, records long")
     counts = spark.createDataFrame([("s", "mined", 10)], "sys_code string, table_code string, n_fds long")
-    got = rows(worklist.worklist(conf, status, records, counts), "table_code", "stage", "variant")
+    got = rows(worklist.worklist(conf, status, records, counts, full_rows=400_000), "table_code", "stage", "variant")
     assert got == [
         ("few", "fd_check", ""), ("few", "fd_full", ""), ("few", "fd_merge", ""), ("few", "feature", ""),
         ("huge", "fd_level2", "200000"), ("keyed", "fk", "all"), ("keyed", "joint_fk", "s,x"), ("late", "fd_level2", "all"),
         ("mined", "pk", "sql"), ("new", "fd_full", ""), ("new", "feature", ""),
     ]
+    assert ("huge", "fd_level2", "all") in rows(worklist.worklist(conf, status, records, counts), "table_code", "stage", "variant")
     assert rows(worklist.fk_systems(conf, "x,s")) == [("s",)] and worklist.fk_systems(conf, "x").count() == 0
 
 
