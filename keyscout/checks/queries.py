@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from keyscout.checks import oracle as sql
 
 from keyscout.operators import consolidate, dimension, fd, fk, graph, histogram, keys, profile, same, worklist
 from keyscout.plans import discovery
-from keyscout.session import cut_lineage
+from keyscout.session import cut_lineage, shared_folder
 from keyscout.sources import fd_text, tables as src
+from keyscout.sources.results import ResultStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1010,6 +1012,78 @@ def fk_diagram_nodes(spark, folder):
     return fk.fk_diagram_nodes(_star_fks(spark, folder))
 
 
+def _store(spark: SparkSession) -> ResultStore:
+    """An empty result store in the cluster's shared folder."""
+    return ResultStore(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}")
+
+
+_STARTED = "2024-01-01 00:00:00"
+
+
+def _all_tables(prof: DataFrame) -> DataFrame:
+    return prof.select("sys_code", "table_code").distinct()
+
+
+@register(
+    "saved_fk_results",
+    sql.query(
+        sql.fk_ctes(fx.sql_tables(_FK_SET), _KEY_RULE, 1.0),
+        "SELECT t.sys_code, t.table_code, (SELECT count(*) FROM fks f WHERE f.parent_table = t.table_code) AS n_fks, "
+        "CASE WHEN EXISTS (SELECT 1 FROM fks f WHERE f.parent_table = t.table_code) THEN '1' "
+        f"WHEN EXISTS (SELECT 1 FROM prof p WHERE p.table_code = t.table_code AND ({_KEY_RULE}) AND avg_len >= 2) THEN '2' "
+        f"WHEN NOT EXISTS (SELECT 1 FROM prof p WHERE p.table_code = t.table_code AND ({_KEY_RULE})) THEN '3' ELSE '4' END AS code, "
+        "(SELECT 4 * count(*) FROM fks f WHERE f.parent_sys = f.child_sys) AS n_nodes "
+        "FROM (SELECT DISTINCT sys_code, table_code FROM prof) t",
+    ),
+)
+def saved_fk_results(spark, folder):
+    """Foreign keys, diagram nodes and outcomes, written to a store and read back."""
+    tables = fx.frames(spark, folder, _FK_SET)
+    prof = cut_lineage(profile.profile_tables(tables))
+    single = cut_lineage(_unique_fields(prof))
+    fit = single.join(prof.where("avg_len >= 2"), ["sys_code", "table_code", "col_code"], "left_semi")
+    fks = cut_lineage(fk.discover_fk(tables, single, prof, skip_autoincrement=False, min_avg_len=1.0))
+    store = _store(spark)
+    store.save_fks(fks, _all_tables(prof), single, fit, _STARTED)
+    stored = store.read("fks").groupBy(F.col("parent_sys").alias("sys_code"), F.col("parent_table").alias("table_code")).agg(F.count("*").alias("n_fks"))
+    status = store.status().where("stage = 'fk'").select("sys_code", "table_code", "code")
+    return status.join(stored, ["sys_code", "table_code"], "left").select(
+        "sys_code", "table_code", F.coalesce("n_fks", F.lit(0)).alias("n_fks"), "code", F.lit(store.read("fk_nodes").count()).alias("n_nodes")
+    )
+
+
+@register(
+    "saved_key_flags",
+    sql.query(
+        sql.profile_ctes(fx.sql_tables(_FK_SET)),
+        f"SELECT {FIELD}, {_KEY_RULE} AS col_pk, '1' AS code FROM prof",
+    ),
+)
+def saved_key_flags(spark, folder):
+    """Profiles written to a store, then marked with their single keys, and read back."""
+    tables = fx.frames(spark, folder, _FK_SET)
+    prof = cut_lineage(profile.profile_tables(tables))
+    store = _store(spark)
+    store.save_profile(prof, profile.code_values(tables, prof), _STARTED, _all_tables(prof))
+    found = _unique_fields(prof).select("sys_code", "table_code", F.lit("single").alias("kind"), F.lit(0).alias("group_code"), F.array("col_code").alias("cols"))
+    store.save_key_flags(found)
+    status = store.status().where("stage = 'feature'").select("sys_code", "table_code", "code")
+    return store.read("profile").join(status, ["sys_code", "table_code"]).select("sys_code", "table_code", "col_code", "col_pk", "code")
+
+
+@register(
+    "sample_is_drawn",
+    "SELECT 500 AS n_rows, 0 AS outside",
+)
+def sample_is_drawn(spark, folder):
+    """How many rows a random sample has, and how many of them the table does not have."""
+    table = src.read_table(spark, folder, "lineitem")
+    drawn = src.sample_rows(table, 500, seed=7)
+    known = src.sample_rows(table).select(F.xxhash64(*table.columns).alias("row")).distinct().withColumn("known", F.lit(1))
+    marked = drawn.select(F.xxhash64(*table.columns).alias("row")).join(known, "row", "left")
+    return marked.agg(F.count("*").cast("int").alias("n_rows"), F.count_if(F.col("known").isNull()).cast("int").alias("outside"))
+
+
 def _thread_sql() -> sql.Ctes:
     """Joint references to ``conversations(conv_id, turn)``, all in SQL."""
     integers = "('INTEGER', 'SMALLINT', 'BIGINT')"

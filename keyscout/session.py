@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from contextlib import contextmanager
 
@@ -26,21 +27,27 @@ def local_session(app: str = "keyscout", cpus: str = "8", memory: str = "16g") -
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, for tables and checkpoints.
+
+    A temporary folder is used only where that is unset and the master is local.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="keyscout-checkpoint-")
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from the files.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A temporary
-    folder is used only where that is unset and the master is local.
+    The folder is that of ``shared_folder``.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="keyscout-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

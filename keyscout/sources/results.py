@@ -1,8 +1,9 @@
 """Result tables in a folder: append, replace, delete by key, read slices, status log.
 
 Each result is a parquet table, partitioned by system where it has one. Spark commits every
-write as a whole, and a replacement is staged before the old files go, so a lost executor or
-a failed job leaves the previous result readable.
+write as a whole. A replacement is written as a new version beside the old one, and becomes the
+result only when a row that names it is committed to the list of versions, so a lost executor or a
+failed job leaves the previous result readable. Older versions stay in the folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyscout.operators.keys import joint_key_rows
+from keyscout.operators.fk import fk_diagram_nodes
+from keyscout.operators.keys import joint_key_rows, mark_keys
 from keyscout.operators.worklist import latest_status
 
 _EDGE = (
@@ -60,6 +62,17 @@ class ResultStore:
             raise ValueError(f"unknown result {name!r}")
         return f"{self.folder}/{name}"
 
+    def _version(self, name: str) -> int:
+        """The number of the version that counts; 0 until a result is first replaced."""
+        listed = f"{self._path(name)}__versions"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(listed)
+        if not path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+            return 0
+        return self.spark.read.schema("version int").parquet(listed).agg(F.max("version")).first()[0] or 0
+
+    def _current(self, name: str, version: int | None = None) -> str:
+        return f"{self._path(name)}/v{self._version(name) if version is None else version}"
+
     def _load(self, name: str, path: str) -> DataFrame:
         # The explicit schema keeps system codes such as 007 text and lets a result be empty.
         return self.spark.read.schema(SCHEMAS[name]).parquet(path)
@@ -72,16 +85,16 @@ class ResultStore:
         writer.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
-        self._write(name, df, self._path(name), "append")
+        self._write(name, df, self._current(name), "append")
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a whole result anew; ``df`` may read the result it replaces."""
-        staged = f"{self._path(name)}__staged"
-        self._write(name, df, staged, "overwrite")
-        self._write(name, self._load(name, staged), self._path(name), "overwrite")
+        version = self._version(name) + 1
+        self._write(name, df, self._current(name, version), "overwrite")
+        self.spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{self._path(name)}__versions")
 
     def read(self, name: str) -> DataFrame:
-        return self._load(name, self._path(name))
+        return self._load(name, self._current(name))
 
     def delete(self, name: str, keys: DataFrame, on: Sequence[str] = ("sys_code", "table_code")) -> None:
         """Remove the rows whose key is among ``keys``."""
@@ -107,15 +120,21 @@ class ResultStore:
     def status(self) -> DataFrame:
         return latest_status(self.read("status"))
 
-    def save_profile(self, profile: DataFrame, codes: DataFrame, started: str) -> None:
-        """Profiles, table sizes, code values and the stage's status."""
+    def save_profile(self, profile: DataFrame, codes: DataFrame, started: str, tables: DataFrame | None = None) -> None:
+        """Profiles, table sizes, code values and the stage's status.
+
+        Of ``tables``, those without a profile had too few rows and get the code 2.
+        """
         self.append("profile", profile)
         self.append(
             "table_info",
             profile.groupBy("sys_code", "table_code").agg(F.max("col_num").alias("col_num")),
         )
         self.append("code_values", codes)
-        self.set_status(profile.select("sys_code", "table_code").distinct(), "feature", "1", started)
+        profiled = profile.select("sys_code", "table_code").distinct()
+        self.set_status(profiled, "feature", "1", started)
+        if tables is not None:
+            self.set_status(tables.join(profiled, ["sys_code", "table_code"], "left_anti"), "feature", "2", started)
 
     def save_fds(self, fds: DataFrame, tables: DataFrame, code: str, started: str) -> None:
         """FDs of ``tables`` and the mining status."""
@@ -132,3 +151,46 @@ class ResultStore:
         self.set_status(with_key, "pk", "1", started)
         self.set_status(rest.join(with_candidate, key, "left_anti"), "pk", "2", started)
         self.set_status(rest.join(with_candidate, key, "left_semi"), "pk", "3", started)
+
+    def save_key_flags(self, keys: DataFrame) -> None:
+        """Marks single primary keys in the stored profile."""
+        self.replace("profile", mark_keys(self.read("profile"), keys))
+
+    def save_merged_fds(self, fds: DataFrame, tables: DataFrame, started: str) -> None:
+        """Merged FDs in place of the tables' earlier ones; per table 1 if it has any, else 2."""
+        key = ["sys_code", "table_code"]
+        self.replace("fds", self.read("fds").join(tables.select(*key).distinct(), key, "left_anti").unionByName(fds.select("sys_code", "table_code", "lhs", "rhs", "fd_level")))
+        found = fds.select(*key).distinct()
+        self.set_status(tables.join(found, key, "left_semi"), "fd_check", "1", started)
+        self.set_status(tables.join(found, key, "left_anti"), "fd_check", "2", started)
+
+    def save_fks(self, fks: DataFrame, tables: DataFrame, single_keys: DataFrame, fit_keys: DataFrame, started: str) -> None:
+        """Foreign keys, diagram nodes and, per parent table, the outcome.
+
+        1 found, 2 none, 3 no single primary key, 4 none of its primary keys fit for a search.
+        """
+        key = ["sys_code", "table_code"]
+        self.append("fks", fks)
+        self.replace("fk_nodes", fk_diagram_nodes(self.read("fks")))
+        has, fit = single_keys.select(*key).distinct(), fit_keys.select(*key).distinct()
+        found = fks.select(F.col("parent_sys").alias("sys_code"), F.col("parent_table").alias("table_code")).distinct()
+        rest = tables.select(*key).join(found, key, "left_anti")
+        self.set_status(tables.select(*key).join(found, key, "left_semi"), "fk", "1", started)
+        self.set_status(rest.join(fit, key, "left_semi"), "fk", "2", started)
+        self.set_status(rest.join(has, key, "left_anti"), "fk", "3", started)
+        self.set_status(rest.join(has, key, "left_semi").join(fit, key, "left_anti"), "fk", "4", started)
+
+    def save_joint_fks(self, joint_fks: DataFrame, tables: DataFrame, started: str) -> None:
+        """Joint foreign keys and, per parent table, 1 found or 2 none."""
+        key = ["sys_code", "table_code"]
+        self.append("joint_fks", joint_fks)
+        found = joint_fks.select(F.col("parent_sys").alias("sys_code"), F.col("parent_table").alias("table_code")).distinct()
+        self.set_status(tables.select(*key).join(found, key, "left_semi"), "joint_fk", "1", started)
+        self.set_status(tables.select(*key).join(found, key, "left_anti"), "joint_fk", "2", started)
+
+    def save_consolidated(self, name: str, df: DataFrame) -> None:
+        """The consolidated table of an insert and update feed, under its own name."""
+        df.write.mode("overwrite").parquet(f"{self.folder}/tables/{name}")
+
+    def read_consolidated(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/tables/{name}")

@@ -146,3 +146,37 @@ def test_same_fields(spark, rows):
     assert same.same_fields(tables, fks, fds, prof, known_ids=[fk_id]).count() == 0
     only_fk = same.same_fields(tables, fks, fds.where("table_code = 'people'"), prof)
     assert rows(only_fk, "rel_type") == [("fk",)]
+
+
+def test_replacing_keeps_the_old_version_until_the_new_one_counts(spark, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    one = fd.fd_rows(spark, [(frozenset("a"), "b")], "s", "t")
+    store.append("fds", one)
+    store._write("fds", one.unionAll(one), store._current("fds", 1), "overwrite")  # a replacement that fails before it is named
+    assert store.read("fds").count() == 1
+    store.replace("fds", store.read("fds").unionByName(one))
+    assert store.read("fds").count() == 2
+    store.append("fds", one)
+    assert store.read("fds").count() == 3
+
+
+def test_outcomes_are_saved(spark, rows, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    key = "sys_code string, table_code string"
+    todo = spark.createDataFrame([("s", t) for t in "abcd"], key)
+    edge = ("s", "a", "x", "s", "b", "y", "a_x_b_y", 1.0, 5, "id")
+    fks = spark.createDataFrame([edge], "parent_sys string, parent_table string, parent_col string, child_sys string, child_table string, child_col string, fk_name string, ratio double, parent_size bigint, id string")
+    single, fit = spark.createDataFrame([("s", t) for t in "abd"], key), spark.createDataFrame([("s", t) for t in "ab"], key)
+    store.save_fks(fks, todo, single, fit, "2020-01-01 00:00:00")
+    assert rows(store.status(), "table_code", "code") == [("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")]
+    assert store.read("fk_nodes").count() == 4 and store.read("fks").count() == 1
+    joint = spark.createDataFrame([("g", "s", "a", "s", "b", [("x", "y"), ("u", "v")], 1.0, 5)], "group_id string, parent_sys string, parent_table string, child_sys string, child_table string, pairs array<struct<parent_col: string, child_col: string>>, ratio double, parent_size bigint")
+    store.save_joint_fks(joint, todo, "2020-01-01 00:00:00")
+    assert rows(store.status().where("stage = 'joint_fk'"), "table_code", "code") == [("a", "1"), ("b", "2"), ("c", "2"), ("d", "2")]
+    fds = fd.fd_rows(spark, [(frozenset("a"), "b")], "s", "a")
+    store.append("fds", fds.unionAll(fd.fd_rows(spark, [(frozenset("a"), "c")], "s", "b")))
+    store.save_merged_fds(fds, todo.where("table_code IN ('a', 'b')"), "2020-01-01 00:00:00")
+    assert rows(store.read("fds"), "table_code") == [("a",)]
+    assert rows(store.status().where("stage = 'fd_check'"), "table_code", "code") == [("a", "1"), ("b", "2")]
+    store.save_consolidated("t", fds)
+    assert store.read_consolidated("t").count() == 1
