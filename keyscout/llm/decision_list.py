@@ -29,6 +29,7 @@ BINS = 32
 MOST_RULES = 8
 MOST_CONDITIONS = 3
 LEAST_PRECISION = 0.95
+FEW_WINDOWS = 48
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DIGITS = "0123456789"
@@ -50,22 +51,27 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
     )
     with_windows = words.select(
-        "id", "words", windows.alias("windows"), lines.alias("lines"),
+        "id", F.size("words").cast("long").alias("n_words"), windows.alias("windows"), lines.alias("lines"),
         (F.length("text") - count(spaces)).cast("long").alias("word_chars"),
         *(count(c).alias(n) for n, c in (("n_symbols", SYMBOLS), ("n_upper", UPPER), ("n_digits", DIGITS))),
     )
-    places = F.sort_array(F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
-    sorted_ = with_windows.select(
-        "id", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper", "n_digits",
+    counted = with_windows.select(
+        "id", "n_words", "word_chars", "n_symbols", "n_upper", "n_digits", "windows",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(repeats, places).alias("places"),
+        F.sort_array("windows").alias("sorted"),
     )
+    again = F.array_distinct(F.filter("sorted", lambda w, i: F.coalesce(w == F.get("sorted", i - 1), F.lit(False))))
+    with_again = counted.select("*", again.alias("again")).drop("sorted")
+    # Either way the same places: few repeated windows are looked up for each place, many are found by sorting.
+    few = F.size("again") <= FEW_WINDOWS
+    places = F.sort_array(F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    sorted_ = with_again.withColumn("places", F.when(~few, places))
     equal = lambda x, i: F.coalesce(x["w"] == F.get("places", i)["w"], F.lit(False))
-    twice = F.filter("places", lambda x, i: equal(x, i - 1) | equal(x, i + 1))
-    marked = sorted_.withColumn("twice", twice)
-    covered = F.array_distinct(F.flatten(F.transform("twice", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
-    repeated = F.when(F.col("twice").isNull(), 0).otherwise(F.size(covered)).cast("long")
+    looked_up = F.filter(F.transform("windows", lambda w, i: F.when(F.array_contains("again", w), i)), lambda i: i.isNotNull())
+    by_sorting = F.transform(F.filter("places", lambda x, i: equal(x, i - 1) | equal(x, i + 1)), lambda x: x["i"])
+    marked = sorted_.withColumn("twice", F.when(F.size("again") == 0, F.array().cast("array<int>")).when(few, looked_up).otherwise(by_sorting))
+    covered = F.array_distinct(F.flatten(F.transform("twice", lambda i: F.array(i, i + 1, i + 2))))
+    repeated = F.size(covered).cast("long")
     found = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), "n_upper", "n_digits")
     # A generator of one row keeps filters on the statistics from being pushed below, where each array would be made anew for each of its elements.
     return marked.select("id", F.inline(F.array(found)))
@@ -213,8 +219,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    stats = stored(text_statistics(docs, id_col, text_col), "statistics")
-    rules = learn(labelled_rows(stats.where(~base_failed()), labels, id_col, label_col))
     held = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    judged_ = text_statistics(held, "row", "text").withColumn("features", F.struct(*(c.alias(n) for n, c in features().items())))
-    return judged_.where(~base_failed() & rules.kept()).select("id.*")
+    stats = stored(text_statistics(held, "row", "text"), "statistics").withColumnRenamed("id", "row")
+    rules = learn(labelled_rows(stats.where(~base_failed()).withColumn("id", F.col("row")[id_col]), labels, id_col, label_col))
+    judged_ = stats.withColumn("features", F.struct(*(c.alias(n) for n, c in features().items())))
+    return judged_.where(~base_failed() & rules.kept()).select("row.*")
