@@ -249,7 +249,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             write_whole(f"{folder}/words-{shard}.total", counts.astype("<u8").tobytes())
             yield pa.RecordBatch.from_pydict({"shard": [shard], "words": [len(keys)], "tokens": [int(counts.sum())]}, schema=pa.schema([("shard", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64())]))
 
-    runs = texts.mapInArrow(count_words, _RUN_SCHEMA).repartition(word_shards, "shard").sortWithinPartitions("shard")
+    runs = texts.mapInArrow(count_words, _RUN_SCHEMA).repartitionById(word_shards, F.col("shard")).sortWithinPartitions("shard")
     sizes = {r["shard"]: r for r in runs.mapInArrow(merge_words, "shard int, words long, tokens long").collect()}
     model.word_sizes = [sizes[i]["words"] if i in sizes else 0 for i in range(word_shards)]
     model.tokens = sum(r["tokens"] for r in sizes.values())
@@ -333,9 +333,9 @@ def _train_pairs(model: Model, texts: DataFrame) -> None:
                 told.append((1, part, np.bincount(np.minimum(table[:, 3], 5), minlength=6).astype("<i8").tobytes(), b"", 0))
             yield _stat_batch(told)
 
-    runs = texts.mapInArrow(count_pairs, _RUN_SCHEMA).repartition(shards, "shard").sortWithinPartitions("shard")
+    runs = texts.mapInArrow(count_pairs, _RUN_SCHEMA).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
     schema = "kind int, part int, ids binary, rows binary, wide int"
-    stats = runs.mapInArrow(merge_pairs, schema).repartition(max(parts, 1), "part").sortWithinPartitions("part")
+    stats = runs.mapInArrow(merge_pairs, schema).repartitionById(max(parts, 1), F.col("part")).sortWithinPartitions("part")
     told = stats.mapInArrow(merge_statistics, schema).collect()
     sizes, left = np.zeros(6, np.int64), np.zeros(6, np.int64)
     started = np.zeros(3, np.int64)
