@@ -32,7 +32,7 @@ CAPACITY = 2048
 END_ID = 0
 ROWS_PER_BLOCK = 100_000
 #: Pieces of words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 _ENCODERS: dict[str, _Encoder] = {}
 
@@ -129,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         for batch in batches:
             texts = batch.column("text")
             row, piece, start, length, crc = [], [], [], [], []
-            for a, b in slices(pc.binary_length(texts).to_numpy(), 8_000_000):
+            for a, b in slices(pc.binary_length(texts).to_numpy(), 6_000_000):
                 ids, counts = encoder.encode(texts.slice(a, b - a))
                 at = 0
                 for i, count in enumerate(counts.tolist(), a):
