@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyscout.llm.common import slices, stored, texts_of
@@ -130,25 +130,30 @@ def near_links(prints: DataFrame, block_rows: int = 4000) -> DataFrame:
     return in_blocks(postings, "key", "fp", block_rows).mapInArrow(_linked, "a long, b long")
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """(fp, first_id, component): each distinct fingerprint, its smallest id, and the smallest fingerprint reachable over links."""
+    classes = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
+    reached = components(near_links(classes.select("fp")))
+    return classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
     """(id_col, fp, component_id): each row's fingerprint and the smallest id reachable over links."""
     prints = stored(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
-    reached = components(near_links(classes.select("fp")))
-    rooted = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    rooted = _rooted(prints)
     smallest = rooted.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(smallest, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; rows that repeat an id stay once.
+    """One row of each component of ``docs``: the one with the smallest id, null ids last, then the smallest hash.
 
-    Rows with a null id go where their component has another id, and stay once otherwise.
+    Rows are told apart by a key of their own, so ids may be null or repeated and components may share them.
     """
-    parts = simhash_components(docs, id_col, text_col)
-    keep = parts.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("kept_id")).distinct()
-    held = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("kept_id"))
-    first = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64("row")))
-    met = held.join(keep, held["kept_id"].eqNullSafe(keep["kept_id"])).select("row", held["kept_id"])
-    return met.withColumn("nth", first).where("nth = 1").select("row.*")
+    held = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "rows")
+    own = F.col("row")[id_col]
+    order = F.struct(own.isNull().alias("no_id"), own.alias("own"), F.xxhash64("row").alias("hash"), "key")
+    prints = stored(fingerprints(held.select(order.alias("at"), F.col("row")[text_col].alias("text")), "at", "text"), "fingerprints")
+    first = _rooted(prints).groupBy("component").agg(F.min("first_id").alias("at"))
+    return held.join(first.select("at.key"), "key", "left_semi").select("row.*")

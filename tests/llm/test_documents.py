@@ -64,6 +64,24 @@ def test_near_copies_are_dropped_but_one(spark, rows):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*set(roots.values()), None])
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    rng = random.Random(8)
+    other = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60))
+    a, b, c = other(), other(), other()
+    rows = [(None, other(), "a") for _ in range(20)]
+    rows += [(5, other(), "a"), (5, other(), "a"), (3, a, "a"), (5, a, "b"), (5, b, "a"), (None, c, "a"), (None, c, "b"), (7, c, "a"), (7, c, "a")]
+    texts = [t for _, t, _ in rows]
+    prints, roots = brute.simhash_components(list(enumerate(texts)))
+    want = {}
+    for at, (i, _, _) in enumerate(rows):
+        want[roots[at]] = min(want.get(roots[at], (True, 0)), (i is None, i or 0))
+    kept = simhash.drop_near_copies(frame(spark, rows)).collect()
+    assert len(set(roots.values())) == 25
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == sorted(want.values())
+    of = {t: roots[at] for at, t in enumerate(texts)}
+    assert sorted(of[r["text"]] for r in kept) == sorted(want)
+
+
 def test_mixing_matches_sql_and_meets_targets(spark, rows):
     docs = frame(spark, rows)
     got = mixing.sampled_copies(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
