@@ -4,11 +4,12 @@ The base patterns mark assignments, access keys and hexadecimal runs, and so lab
 A bounded sample of the distinct ones (``MOST_EXAMPLES`` per kind, those with the smallest digests) is put into
 a prefix tree per kind over character classes. Statistically compatible states are merged (red states are kept,
 blue ones join the first red state whose stop and branch frequencies differ by less than a Hoeffding bound, all the
-way down) into a probabilistic automaton. Every other run of credential characters that holds a digit is a
-candidate. It becomes a span of kind ``format`` if the best automaton gives it a likelihood that exceeds that of
-ordinary runs by a margin, both per character. Spans of base patterns always stay.
+way down) into a probabilistic automaton. Every other run of credential characters is a candidate for a kind unless it
+is shorter than all labelled credentials of that kind (and than ``LONG``), or has no digit where all of these have one;
+both are learned from all labelled rows. It becomes a span of kind ``format`` if the best automaton gives it a
+likelihood that exceeds that of ordinary runs by a margin, both per character. Spans of base patterns always stay.
 
-Each text is read once and whole, however long. Null and empty texts have no spans. Rows with null or repeated ids
+Each text is read whole, however long: for labels, for ordinary runs, and for spans. Null and empty texts have no spans. Rows with null or repeated ids
 are scanned like all others. Other columns are not read. An empty table gives no rows and learns no format.
 """
 
@@ -19,21 +20,26 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyscout.llm.common import stored
+from keyscout.llm.common import slices, stored
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{16,}")
 KEYWORD = re.compile(r"password|passwd|secret|token|api_?key")
 #: Kinds in the order in which spans with equal starts are listed.
 KINDS = ("assign", "access", "hex", "format")
 MOST_EXAMPLES = 1000
+#: Runs of this length are candidates even where all labelled credentials are longer.
+LONG = 16
+#: Verdicts remembered, by shape.
+MOST_SHAPES = 200_000
 #: Log10 likelihood per character by which a candidate must look more like a credential than like an ordinary run.
 MARGIN = 0.15
 CONFIDENCE = 0.05
@@ -54,9 +60,22 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, str]]:
-    """(start, run) of the runs of credential characters that hold a digit and touch no span."""
-    return [(m.start(), m[0]) for m in CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b, _ in spans)]
+def candidate_pattern(least: int, digit: bool) -> re.Pattern[str]:
+    """Whole runs of at least ``least`` credential characters, only those that hold a digit if ``digit``."""
+    return re.compile(r"(?<![A-Za-z0-9+/_.=-])" + (r"(?=[A-Za-z+/_.=-]*[0-9])" if digit else "") + rf"[A-Za-z0-9+/_.=-]{{{least},}}")
+
+
+def candidates(text: str, spans: list[tuple[str, int, int, str]], pattern: re.Pattern[str]) -> list[tuple[int, str]]:
+    """(start, run) of the runs that match ``pattern`` and touch no span."""
+    found, at = [], 0
+    ends = list(accumulate((b for _, _, b, _ in spans), max))
+    for m in pattern.finditer(text):
+        a, b = m.span()
+        while at < len(spans) and ends[at] <= a:
+            at += 1
+        if at == len(spans) or spans[at][1] >= b:
+            found.append((a, m[0]))
+    return found
 
 
 class Automaton:
@@ -134,25 +153,49 @@ class Automaton:
 
 
 class Formats:
-    """Automata per kind, and a pair model of ordinary runs to compare with."""
+    """Automata per kind, and a pair model of ordinary runs to compare with.
+
+    ``limits`` holds the least length of a kind's candidates and whether they need a digit.
+    """
 
-    def __init__(self, examples: dict[str, Iterable[str]], ordinary: Iterable[str]):
+    def __init__(self, examples: dict[str, Iterable[str]], limits: dict[str, tuple[int, bool]], ordinary: Iterable[str]):
         self.automata = {k: Automaton(Counter(shape(x) for x in xs)) for k, xs in examples.items() if xs}
+        self.limits = limits
+        self.pattern = all_candidates(limits)
         pairs: dict[str, Counter] = {}
         for run in ordinary:
             s = "^" + shape(run) + "$"
             for a, b in zip(s, s[1:]):
                 pairs.setdefault(a, Counter())[b] += 1
         self.pairs = {a: {b: math.log10((n + 0.5) / (sum(k.values()) + 6)) for b, n in k.items()} for a, k in pairs.items()}
+        self.known: dict[str, float] = {}
 
     def gain(self, run: str) -> float:
         """How much likelier, in log10 per character, the run is as a credential than as an ordinary run."""
         s = shape(run)
-        if not self.automata:
+        found = self.known.get(s)
+        if found is None:
+            if len(self.known) >= MOST_SHAPES:
+                self.known.clear()
+            found = self.known[s] = self._gain(s)
+        return found
+
+    def _gain(self, s: str) -> float:
+        fitting = [a for k, a in self.automata.items() if len(s) >= self.limits[k][0] and ("0" in s or not self.limits[k][1])]
+        if not fitting:
             return -math.inf
         framed = "^" + s + "$"
         plain = sum(self.pairs.get(a, {}).get(b, math.log10(0.5 / 6)) for a, b in zip(framed, framed[1:]))
-        return (max(a.score(s) for a in self.automata.values()) - plain) / (len(s) + 1)
+        return (max(a.score(s) for a in fitting) - plain) / (len(s) + 1)
+
+    def runs(self, text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, int]]:
+        """(start, end) of the candidates that look like credentials."""
+        return [(a, a + len(r)) for a, r in candidates(text, spans, self.pattern) if self.gain(r) > MARGIN]
+
+
+def all_candidates(limits: dict[str, tuple[int, bool]]) -> re.Pattern[str]:
+    """The pattern of the runs that are candidates for some kind."""
+    return candidate_pattern(min((n for n, _ in limits.values()), default=LONG), all(d for _, d in limits.values()))
 
 
 def shape(text: str) -> str:
@@ -160,54 +203,73 @@ def shape(text: str) -> str:
     return text.translate(_SHAPE)
 
 
-def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, kinds, starts, ends, values, runs, run_starts) of each row: its base spans and candidates."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(kind, value) of each base span."""
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                spans = base_spans(text)
-                runs = candidates(text, spans)
-                for column, cell in zip(out, [*([s[i] for s in spans] for i in range(4)), [r for _, r in runs], [a for a, _ in runs]]):
-                    column.append(cell)
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c, pa.list_(k)) for c, k in zip(out, kinds))], ["id", "kinds", "starts", "ends", "values", "runs", "run_starts"])
+            for texts in parts(batch):
+                spans = [s for t in texts for s in base_spans(t)]
+                yield pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.string()) for i in (0, 3)], ["kind", "value"])
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "kind string, value string")
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(compute, f"id {kind}, kinds array<string>, starts array<long>, ends array<long>, values array<string>, runs array<string>, run_starts array<long>")
 
+def parts(batch: pa.RecordBatch) -> Iterator[list[str]]:
+    """The texts of a batch, null as empty, a bounded number of bytes at a time."""
+    texts = batch.column("text")
+    for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        yield [x or "" for x in texts.slice(a, b - a).to_pylist()]
 
-def learn_formats(scans: DataFrame, most_examples: int = MOST_EXAMPLES) -> Formats:
-    """The format model from ``scanned`` rows; at most ``most_examples`` distinct strings of each kind, and as many ordinary runs."""
-    labelled = scans.select(F.explode(F.arrays_zip("kinds", "values")).alias("s")).select(F.col("s.kinds").alias("kind"), F.col("s.values").alias("value"))
+
+def ordinary_runs(docs: DataFrame, limits: dict[str, tuple[int, bool]], text_col: str = "text") -> DataFrame:
+    """(value) of each candidate."""
+    pattern = all_candidates(limits)
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in parts(batch):
+                runs = [r for t in texts for _, r in candidates(t, base_spans(t), pattern)]
+                yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string())], ["value"])
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "value string")
+
+
+def learn_formats(docs: DataFrame, text_col: str = "text", most_examples: int = MOST_EXAMPLES) -> Formats:
+    """The format model of ``docs``; automata from at most ``most_examples`` distinct strings of each kind, and as many ordinary runs."""
+    labels = stored(labelled(docs, text_col), "labels")
+    limits = {
+        r["kind"]: (min(r["least"], LONG), r["digit"])
+        for r in labels.groupBy("kind").agg(F.min(F.length("value")).alias("least"), F.min(F.col("value").rlike("[0-9]")).alias("digit")).collect()
+    }
     examples = {}
     for kind in KINDS[:3]:
-        values = labelled.where(F.col("kind") == kind).select("value").distinct()
+        values = labels.where(F.col("kind") == kind).select("value").distinct()
         examples[kind] = [r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(most_examples).collect()]
-    runs = scans.select(F.explode("runs").alias("value")).distinct().orderBy(F.xxhash64("value"), "value").limit(most_examples)
-    return Formats(examples, [r[0] for r in runs.collect()])
+    runs = ordinary_runs(docs, limits, text_col).distinct().orderBy(F.xxhash64("value"), "value").limit(most_examples) if limits else None
+    return Formats(examples, limits, [r[0] for r in runs.collect()] if limits else [])
 
 
-def found_spans(scans: DataFrame, formats: Formats, margin: float = MARGIN) -> DataFrame:
+def found_spans(docs: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_assign, n_access, n_hex, base_spans, spans); spans as arrays of structs (kind, start, end) in order."""
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, full = [], []
-            for kinds, starts, ends, runs, at in zip(*(batch.column(c).to_pylist() for c in ("kinds", "starts", "ends", "runs", "run_starts"))):
-                own = [dict(kind=k, start=a, end=b) for k, a, b in zip(kinds, starts, ends)]
-                more = [dict(kind="format", start=a, end=a + len(r)) for r, a in zip(runs, at) if formats.gain(r) > margin]
-                base.append(own)
-                full.append(sorted(own + more, key=lambda s: (s["start"], KINDS.index(s["kind"]))))
+            for texts in parts(batch):
+                for text in texts:
+                    spans = base_spans(text)
+                    own = [dict(kind=k, start=a, end=b) for k, a, b, _ in spans]
+                    more = [dict(kind="format", start=a, end=b) for a, b in formats.runs(text, spans)]
+                    base.append(own)
+                    full.append(sorted(own + more, key=lambda s: (s["start"], KINDS.index(s["kind"]))))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(base, pa.list_(span)), pa.array(full, pa.list_(span))], ["id", "base_spans", "spans"])
 
-    kind = scans.schema["id"].dataType.simpleString()
+    kind = rows.schema["id"].dataType.simpleString()
     spans = "array<struct<kind:string,start:long,end:long>>"
-    found = scans.mapInArrow(compute, f"id {kind}, base_spans {spans}, spans {spans}")
+    found = rows.mapInArrow(compute, f"id {kind}, base_spans {spans}, spans {spans}")
     return found.select("id", *(_of_kind(k).alias(f"n_{k}") for k in KINDS[:3]), "base_spans", "spans")
 
 
@@ -217,23 +279,22 @@ def _of_kind(kind: str) -> Column:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_assign, n_access, n_hex, base_spans, spans) of every row of ``docs``."""
-    scans = stored(scanned(docs, id_col, text_col), "scans")
-    return found_spans(scans, learn_formats(scans)).withColumnRenamed("id", id_col)
+    return found_spans(docs, learn_formats(docs, text_col), id_col, text_col).withColumnRenamed("id", id_col)
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "<SECRET>") -> DataFrame:
     """``docs`` with each found span replaced by ``mark``; spans that overlap are replaced together."""
-    formats = learn_formats(stored(scanned(docs.select(F.lit(0).alias("id"), text_col), "id", text_col).select("kinds", "values", "runs"), "scans"))
+    formats = learn_formats(docs, text_col)
 
     def clean(text: str) -> str:
         spans = base_spans(text)
-        cuts = [(a, b) for _, a, b, _ in spans] + [(a, a + len(r)) for a, r in candidates(text, spans) if formats.gain(r) > MARGIN]
-        parts, at = [], 0
+        cuts = [(a, b) for _, a, b, _ in spans] + formats.runs(text, spans)
+        kept, at = [], 0
         for a, b in sorted(cuts):
             if a >= at:
-                parts += [text[at:a], mark]
+                kept += [text[at:a], mark]
             at = max(at, b)
-        return "".join([*parts, text[at:]])
+        return "".join([*kept, text[at:]])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

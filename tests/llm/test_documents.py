@@ -190,6 +190,21 @@ def test_formats_find_credentials_without_a_keyword(spark):
     assert clean[3]["fp"] == "x"
 
 
+@pytest.mark.parametrize("letters", ["BCDFGHJKLMNPQRSTVWXZ0123456789", "BCDFGHJKLMNPQRSTVWXZ"])
+def test_formats_follow_the_labelled_lengths_and_letters(spark, letters):
+    rng = random.Random(2)
+    make = lambda: "".join(rng.choices(letters, k=5)) + "-" + "".join(rng.choices(letters, k=5))
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 12))) for _ in range(400)]
+    rows = [(i, f"{' '.join(rng.choices(words, k=30))} password={make()} {' '.join(rng.choices(words, k=30))} 2024-10-{i:03d}", "a") for i in range(300)]
+    bare = [make() for _ in range(20)]
+    rows += [(1000 + i, f"look: {x} {' '.join(rng.choices(words, k=30))} 2024-10-{i:03d}", "a") for i, x in enumerate(bare)]
+    got = {r["doc_id"]: r for r in secrets.find_secrets(frame(spark, rows)).collect()}
+    assert all([tuple(s) for s in got[1000 + i]["spans"]] == [("format", 6, 17)] for i in range(20))
+    assert all([s["kind"] for s in got[i]["spans"]] == ["assign"] for i in range(300))
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(frame(spark, rows)).collect()}
+    assert all(clean[1000 + i] == rows[300 + i][1].replace(x, "<SECRET>") for i, x in enumerate(bare))
+
+
 def test_statistics_match_plain_counts(spark, rows):
     more = [(960, "a b c\n a b c \n\nx\nx\n \na b c", "a"), (961, "# * <b> $5 & 7% |", "a"), (962, "z z z z z z", "a")]
     got = decision_list.text_statistics(frame(spark, rows + more)).collect()
