@@ -155,18 +155,17 @@ class Automaton:
 class Formats:
     """Automata per kind, and a pair model of ordinary runs to compare with.
 
-    ``limits`` holds the least length of a kind's candidates and whether they need a digit.
+    ``limits`` holds the least length of a kind's candidates and whether they need a digit, ``ordinary`` the number
+    of each pair of neighbours in the framed shapes of all candidates.
     """
 
-    def __init__(self, examples: dict[str, Iterable[str]], limits: dict[str, tuple[int, bool]], ordinary: Iterable[str]):
+    def __init__(self, examples: dict[str, Iterable[str]], limits: dict[str, tuple[int, bool]], ordinary: Iterable[tuple[str, int]]):
         self.automata = {k: Automaton(Counter(shape(x) for x in xs)) for k, xs in examples.items() if xs}
         self.limits = limits
         self.pattern = all_candidates(limits)
         pairs: dict[str, Counter] = {}
-        for run in ordinary:
-            s = "^" + shape(run) + "$"
-            for a, b in zip(s, s[1:]):
-                pairs.setdefault(a, Counter())[b] += 1
+        for (a, b), n in ordinary:
+            pairs.setdefault(a, Counter())[b] += n
         self.pairs = {a: {b: math.log10((n + 0.5) / (sum(k.values()) + 6)) for b, n in k.items()} for a, k in pairs.items()}
         self.known: dict[str, float] = {}
 
@@ -222,21 +221,26 @@ def parts(batch: pa.RecordBatch) -> Iterator[list[str]]:
         yield [x or "" for x in texts.slice(a, b - a).to_pylist()]
 
 
-def ordinary_runs(docs: DataFrame, limits: dict[str, tuple[int, bool]], text_col: str = "text") -> DataFrame:
-    """(value) of each candidate."""
+def ordinary_pairs(docs: DataFrame, limits: dict[str, tuple[int, bool]], text_col: str = "text") -> DataFrame:
+    """(pair, n) of the neighbours in the framed shapes of all candidates, each run as often as it occurs."""
     pattern = all_candidates(limits)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in parts(batch):
-                runs = [r for t in texts for _, r in candidates(t, base_spans(t), pattern)]
-                yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string())], ["value"])
+                pairs: Counter[str] = Counter()
+                for s, n in Counter(shape(r) for t in texts for _, r in candidates(t, base_spans(t), pattern)).items():
+                    framed = "^" + s + "$"
+                    for a, b in zip(framed, framed[1:]):
+                        pairs[a + b] += n
+                yield pa.RecordBatch.from_arrays([pa.array(pairs.keys(), pa.string()), pa.array(pairs.values(), pa.int64())], ["pair", "n"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "value string")
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "pair string, n long")
+    return found.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def learn_formats(docs: DataFrame, text_col: str = "text", most_examples: int = MOST_EXAMPLES) -> Formats:
-    """The format model of ``docs``; automata from at most ``most_examples`` distinct strings of each kind, and as many ordinary runs."""
+    """The format model of ``docs``; automata from at most ``most_examples`` distinct strings of each kind, ordinary pairs from all runs."""
     labels = stored(labelled(docs, text_col), "labels")
     limits = {
         r["kind"]: (min(r["least"], LONG), r["digit"])
@@ -246,8 +250,7 @@ def learn_formats(docs: DataFrame, text_col: str = "text", most_examples: int =
     for kind in KINDS[:3]:
         values = labels.where(F.col("kind") == kind).select("value").distinct()
         examples[kind] = [r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(most_examples).collect()]
-    runs = ordinary_runs(docs, limits, text_col).distinct().orderBy(F.xxhash64("value"), "value").limit(most_examples) if limits else None
-    return Formats(examples, limits, [r[0] for r in runs.collect()] if limits else [])
+    return Formats(examples, limits, [tuple(r) for r in ordinary_pairs(docs, limits, text_col).collect()] if limits else [])
 
 
 def found_spans(docs: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -205,6 +205,16 @@ def test_formats_follow_the_labelled_lengths_and_letters(spark, letters):
     assert all(clean[1000 + i] == rows[300 + i][1].replace(x, "<SECRET>") for i, x in enumerate(bare))
 
 
+def test_ordinary_runs_are_all_counted(spark):
+    texts = [f"password=abc{i:05d}x order-{i % 9:04d} order-0001 mail{i}.example.com x{i:06d}" for i in range(300)]
+    formats = secrets.learn_formats(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]), most_examples=10)
+    runs = [r for t in texts for _, r in secrets.candidates(t, secrets.base_spans(t), formats.pattern)]
+    want = Counter(p for r in runs for p in zip("^" + secrets.shape(r), secrets.shape(r) + "$"))
+    after = Counter(a for a, _ in want.elements())
+    assert len(runs) > 600 and len(formats.automata) == 1
+    assert {(a, b): 10**x for a, k in formats.pairs.items() for b, x in k.items()} == pytest.approx({p: (n + 0.5) / (after[p[0]] + 6) for p, n in want.items()})
+
+
 def test_statistics_match_plain_counts(spark, rows):
     more = [(960, "a b c\n a b c \n\nx\nx\n \na b c", "a"), (961, "# * <b> $5 & 7% |", "a"), (962, "z z z z z z", "a")]
     got = decision_list.text_statistics(frame(spark, rows + more)).collect()
