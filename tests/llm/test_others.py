@@ -164,6 +164,24 @@ def test_recall_on_the_table(spark):
     assert 0.97 * want <= got <= want
 
 
+@pytest.mark.parametrize("hashes", [2, 3, 4])
+def test_recall_of_planted_pairs(spark, hashes):
+    """Pairs with cosines from 0.95 to 0.99, half of them at 0.95 to 0.96, among random vectors of 64 dimensions."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, side = x[:600], rng.normal(size=(600, 64))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    near = np.concatenate([rng.uniform(0.95, 0.96, 300), rng.uniform(0.96, 0.99, 300)])[:, None]
+    x = np.concatenate([x, near * a + np.sqrt(1 - near**2) * side])
+    want = int((x @ x.T >= 0.95).sum()) - len(x)
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = sum(r["n_links"] for r in crosspolytope.near_vectors(rows, hashes=hashes).collect())
+    print(f"hashes {hashes}: {got} of {want} links")
+    assert want >= 1200 and 0.97 * want <= got <= want
+
+
 def test_components_of_long_paths_and_stars(spark):
     rng = np.random.default_rng(2)
     names = rng.permutation(400)
