@@ -1,8 +1,9 @@
 """Analysis inputs derived from the benchmark tables, as Spark frames and as SQL text.
 
 The benchmark tables are clean and keyed by dense integers. What they lack (copies of a table
-in another system, text keys, joint references) is derived here by projections and joins over
-whole tables, the same way on both sides.
+in another system, text keys, joint references) is derived here, the same way on both sides, by
+projections and joins over whole tables. Three children of inclusions are row filters: invoice
+documents (orders of status F), their archive (the urgent ones of these) and replies (assistant turns).
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def sql_tables(names: list[str]) -> SqlTables:
 # ---- text-keyed tables of several systems -----------------------------------------------
 
 def linked_frames(spark: SparkSession, folder: str) -> dict[TableKey, DataFrame]:
-    """Customers, their copy in a second system, invoices, invoice documents and an archive."""
+    """Customers, their copy in a second system, invoices, documents of the invoices of status F, and an archive of the urgent ones."""
     customer = read_table(spark, folder, "customer")
     orders = read_table(spark, folder, "orders")
     number = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
@@ -103,7 +104,7 @@ LINKED_SQL: SqlTables = {
 # ---- a joint reference ------------------------------------------------------------------
 
 def thread_frames(spark: SparkSession, folder: str) -> dict[TableKey, DataFrame]:
-    """Conversations, the replies in them under other names, labels and nations."""
+    """Conversations, the assistant's turns in them under other names, labels and nations."""
     talks = read_table(spark, folder, "conversations")
     return {
         (SYSTEM, "conversations"): talks,

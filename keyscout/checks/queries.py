@@ -1123,6 +1123,7 @@ def _thread_candidates(spark, folder):
 
 @register("joint_fk_tables", sql.query(_thread_sql(), "SELECT child_sys, child_table, 2 AS key_size FROM whole"))
 def joint_fk_tables(spark, folder):
+    """Replies have the turns of assistants only."""
     return fk.joint_fk_tables(_thread_candidates(spark, folder)).select("child_sys", "child_table", "key_size")
 
 
@@ -1131,6 +1132,7 @@ def joint_fk_tables(spark, folder):
     sql.query(_thread_sql(), "SELECT child_sys, child_table, 'conv_id:' || conv_col || ',turn:' || turn_col AS pairs FROM assigned"),
 )
 def joint_fk_assignments(spark, folder):
+    """Replies have the turns of assistants only."""
     label = F.array_join(F.transform("pairs", lambda x: F.concat_ws(":", x["parent_col"], x["child_col"])), ",")
     return fk.joint_fk_assignments(_thread_candidates(spark, folder)).select("child_sys", "child_table", label.alias("pairs"))
 
@@ -1178,6 +1180,7 @@ def _thread_fks(spark, folder):
     ),
 )
 def discover_joint_fk(spark, folder):
+    """Replies have the turns of assistants only."""
     label = F.array_join(F.transform("pairs", lambda x: F.concat_ws(":", x["parent_col"], x["child_col"])), ",")
     return _thread_fks(spark, folder).select(
         "parent_sys", "parent_table", "child_sys", "child_table", label.alias("pairs"), F.round("ratio", 9).alias("ratio"), "parent_size"
@@ -1192,6 +1195,7 @@ def discover_joint_fk(spark, folder):
     ),
 )
 def joint_fk_groups(spark, folder):
+    """Replies have the turns of assistants only."""
     groups = fk.joint_fk_groups(fk.joint_fk_rows(cut_lineage(_thread_fks(spark, folder))))
     label = F.array_join(F.transform("pairs", lambda x: F.concat_ws(":", x["parent_col"], x["child_col"])), ",")
     return groups.select("parent_table", "child_table", label.alias("pairs"), F.size("pairs").alias("n_pairs"))
@@ -1207,6 +1211,7 @@ def joint_fk_groups(spark, folder):
     ),
 )
 def fk_tables(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these. Replies have the turns of assistants only."""
     linked, _ = _linked(spark, folder)
     return fk.fk_tables(linked, _thread_fks(spark, folder))
 
@@ -1323,6 +1328,7 @@ _RIGHT = "child_sys || '|' || child_table || '|' || child_col"
     ),
 )
 def same_cluster(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     fks, prof = _linked(spark, folder)
     detail = fks.select(
         F.concat_ws("|", "parent_sys", "parent_table", "parent_col").alias("left_node"),
@@ -1346,17 +1352,20 @@ def _relations(spark, folder, with_fds=True):
 
 @register("fk_closure", sql.query(_GRAPH, 'SELECT "left" AS left_node, "right" AS right_node FROM fk_reach', True))
 def fk_closure(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     closed = graph.closure(_relations(spark, folder, with_fds=False))
     return closed.select(F.col("left").alias("left_node"), F.col("right").alias("right_node"))
 
 
 @register("fk_mutual_groups", sql.query(_GRAPH, "SELECT node, merged FROM groups", True))
 def fk_mutual_groups(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     return graph.mutual_groups(_relations(spark, folder, with_fds=False))
 
 
 @register("root_nodes", sql.query(_GRAPH, "SELECT node FROM roots", True))
 def root_nodes(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     return dimension.dim_roots(dimension.merged_relations(_relations(spark, folder, with_fds=False)))
 
 
@@ -1368,17 +1377,20 @@ def _dimension_parts(spark, folder):
 
 @register("dim_members", sql.query(_GRAPH, "SELECT root, node, member FROM members", True))
 def dim_members(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     return _dimension_parts(spark, folder)[1]
 
 
 @register("dim_groups", sql.query(_GRAPH, "SELECT node, dim_group FROM dim_group", True))
 def dim_groups(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     relations = dimension.merged_relations(_relations(spark, folder, with_fds=False))
     return dimension.dim_groups(cut_lineage(dimension.dim_roots(relations)))
 
 
 @register("main_dimensions", sql.query(_GRAPH, "SELECT node, is_main, dim FROM mains", True))
 def main_dimensions(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     roots, members = _dimension_parts(spark, folder)
     return dimension.main_dimensions(roots, members, cut_lineage(dimension.dim_groups(roots)))
 
@@ -1399,4 +1411,5 @@ def main_dimensions(spark, folder):
     ),
 )
 def dim_division(spark, folder):
+    """Of orders, invoice documents have those of status F only, and the archive the urgent ones of these."""
     return dimension.dim_division(_relations(spark, folder))
