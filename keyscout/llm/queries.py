@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyscout.llm import common, crosspolytope, decision_list, kneser_ney, mixing, nbsvm, packing, preferences, secrets, simhash, warc
+from keyscout.llm import common, crosspolytope, decision_list, hard_negatives, kneser_ney, lexical, mixing, nbsvm, packing, preferences, secrets, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,9 +66,26 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), hard_negatives.whole_numbers(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, "vec_id")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~out))
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     q.__name__: q
-    for q in (op1_secret_formats, op2_quality_nbsvm, op3_best_fit_packing, op4_simhash, op5_preferences, op6_warc, op7_cross_polytope, op8_quality_rules, op9_source_mixing, op10_kneser_ney)
+    for q in (op1_secret_formats, op2_quality_nbsvm, op3_best_fit_packing, op4_simhash, op5_preferences, op6_warc, op7_cross_polytope, op8_quality_rules, op9_source_mixing, op10_kneser_ney, op11_hard_negatives, op12_lexical_search, op13_toxicity)
 }
 
 ORACLE = {
@@ -128,4 +145,37 @@ ORACLE = {
         SELECT doc_id, size, source_size, target, ((floor(shift + step * rank) - floor(shift + step * (rank - 1))) * size)::BIGINT AS taken
         FROM r JOIN o ON r.source IS NOT DISTINCT FROM o.source
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+            s.id AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        i AS (
+            SELECT DISTINCT item_id, text,
+                unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+            FROM benchmark),
+        n AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+        f AS (SELECT row, doc_id, len(terms)::BIGINT AS size, unnest(terms) AS term FROM d),
+        c AS (SELECT row, doc_id, size, term, count(*) AS tf FROM f WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM c, n GROUP BY term, n_docs),
+        p AS (SELECT row, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * size * n_docs) // n_terms))) AS share FROM c JOIN w USING (term), n)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY sum(share) DESC, doc_id NULLS LAST, row)::INTEGER AS rank, doc_id, sum(share)::BIGINT AS score
+        FROM i JOIN p USING (term) GROUP BY item_id, text, row, doc_id HAVING sum(share) > 0
+        QUALIFY rank <= 50
+    """,
 }
