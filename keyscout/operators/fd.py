@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from pyspark.sql import types as T
 
 from keyscout import defaults
 from keyscout.functions.text import as_text, col
+from keyscout.operators.covers import difference_sets, extended, without_implied
 from keyscout.session import kept_if_small
 from keyscout.sources.tables import usable_columns
 
@@ -34,6 +34,10 @@ TABLE = ["sys_code", "table_code"]
 BRANCHES_PER_JOB = 24   # determinants of a large table tested by one job
 KEYS_PER_ROW = 64       # determinants of a small table tested by one job
 PROBE_ROWS = 100_000    # rows of the refutation probe
+PAIRED_ROWS = 5_000     # rows whose pairs give difference sets, fewer for wide tables
+PAIRED_CELLS = 5_000_000
+PAIRED_SETS = 4_000     # difference sets kept, and how many of these for one column
+FAMILY_SETS = 128
 
 Fd = tuple[frozenset, str]
 Plan = dict[tuple[str, ...], list[str]]
@@ -68,15 +72,20 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _single_valued(rows: DataFrame, c: str) -> Column:
-    """Aggregate: all rows of the group hold the same value of ``c``, NULL being a value."""
-    same = F.min(col(c)).eqNullSafe(F.max(col(c)))
+    """Aggregate: all rows of the group hold the same value of ``c``, NULL being a value.
+
+    Texts are compared by hash, which keeps the aggregation hash based; equal hashes prove nothing, so ``_run_tests`` looks
+    at texts again.
+    """
     if isinstance(rows.schema[c].dataType, T.StringType):
-        return same
+        hashed = F.xxhash64(col(c))
+        return F.min(hashed) == F.max(hashed)
+    same = F.min(col(c)).eqNullSafe(F.max(col(c)))
     return same & ((F.count(col(c)) == 0) | (F.count(col(c)) == F.count(F.lit(1))))
 
 
 def _test(rows: DataFrame, lhs: tuple[str, ...], rhs: Sequence[str]) -> DataFrame:
-    """One row: distinct ``lhs`` tuples, the largest group, and which ``rhs`` hold.
+    """One row: distinct ``lhs`` tuples, the largest group, and which ``rhs`` hold, texts by hash.
 
     One shuffle on ``lhs`` tests every right-hand side. Map tasks reduce each group to its
     extremes first, so a hot key never meets in one place.
@@ -110,12 +119,10 @@ def _run_branches(rows: DataFrame, plan: Plan) -> Verdicts:
     return verdicts
 
 
-def _run_exploded(rows: DataFrame, plan: Plan, hashed: bool) -> Verdicts:
+def _run_exploded(rows: DataFrame, plan: Plan) -> Verdicts:
     """Verdicts for many determinants of a small table in one aggregate.
 
-    Each row is repeated per determinant with that determinant's key. With ``hashed``, texts
-    on the right are compared by hash, which keeps the aggregation hash based; equal hashes
-    prove nothing, so ``_run_tests`` looks at the survivors again.
+    Each row is repeated per determinant with that determinant's key.
     """
     verdicts = {}
     todo = sorted(plan.items())
@@ -124,14 +131,9 @@ def _run_exploded(rows: DataFrame, plan: Plan, hashed: bool) -> Verdicts:
         rhs = sorted({c for _, wanted in batch for c in wanted})
         parts = sorted({c for lhs, _ in batch for c in lhs})
         texts = {c: i for i, c in enumerate(parts)}
-
-        def value(c: str) -> Column:
-            is_text = isinstance(rows.schema[c].dataType, T.StringType)
-            return F.xxhash64(col(c)) if hashed and is_text else col(c)
-
         source = rows.select(
             *[col(c).cast("string").alias(f"_t{i}") for c, i in texts.items()],
-            *[value(c).alias(f"_r{i}") for i, c in enumerate(rhs)],
+            *[col(c).alias(f"_r{i}") for i, c in enumerate(rhs)],
         )
         keys = [
             F.struct(F.lit(k).alias("id"), F.array(*[F.col(f"_t{texts[c]}") for c in lhs]).alias("key"))
@@ -156,15 +158,35 @@ def _run_exploded(rows: DataFrame, plan: Plan, hashed: bool) -> Verdicts:
     return verdicts
 
 
+def _tuple_counts(rows: DataFrame, tuples: Sequence[tuple[str, ...]], large: bool) -> dict[tuple[str, ...], int]:
+    """Distinct tuples of some columns, NULL being a value; grouping only, so no text is ever in an aggregation buffer."""
+    counts: dict[tuple[str, ...], int] = {}
+    todo = sorted(set(tuples))
+    step = BRANCHES_PER_JOB if large else KEYS_PER_ROW
+    for start in range(0, len(todo), step):
+        batch = todo[start : start + step]
+        if large:
+            distinct = [rows.select(*[col(c) for c in t]).distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("id"), "n") for k, t in enumerate(batch)]
+            counted = reduce(DataFrame.unionAll, distinct)
+        else:
+            keys = [F.struct(F.lit(k).alias("id"), F.array(*[col(c).cast("string") for c in t]).alias("key")) for k, t in enumerate(batch)]
+            counted = rows.select(F.inline(F.array(*keys))).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        counts |= {batch[r["id"]]: r["n"] for r in counted.collect()}
+    return counts
+
+
 def _run_tests(rows: DataFrame, plan: Plan, large: bool = False) -> Verdicts:
-    """Exact verdicts ``{lhs: (distinct tuples, largest group, right-hand sides that hold)}``."""
-    if large:
-        return _run_branches(rows, plan)
-    verdicts = _run_exploded(rows, plan, hashed=True)
+    """Exact verdicts ``{lhs: (distinct tuples, largest group, right-hand sides that hold)}``.
+
+    Right-hand texts that hold by hash are tested once more: they hold if adding them gives no more distinct tuples.
+    """
+    verdicts = _run_branches(rows, plan) if large else _run_exploded(rows, plan)
     text = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)}
-    again = {lhs: sorted(held & text) for lhs, (_, _, held) in verdicts.items() if held & text}
-    for lhs, (groups, largest, held) in _run_exploded(rows, again, hashed=False).items():
-        verdicts[lhs] = (groups, largest, (verdicts[lhs][2] - text) | held)
+    again = [(lhs, c) for lhs, (_, _, held) in verdicts.items() for c in held & text]
+    counts = _tuple_counts(rows, [(*lhs, c) for lhs, c in again], large)
+    for lhs, c in again:
+        if counts[(*lhs, c)] != verdicts[lhs][0]:
+            verdicts[lhs][2].discard(c)
     return verdicts
 
 
@@ -179,7 +201,8 @@ def mine_fds(
     """All minimal FDs with at most ``max_lhs`` determining columns, level by level.
 
     Candidates are dropped before they cost a pass over the data, always by exact arguments:
-    a unique column determines everything; a violation found in a few rows is a violation;
+    a unique column determines everything; two rows that differ in a column and in no
+    determining one refute a determinant; a violation found in a few rows is a violation;
     an FD cannot have more right-hand values than determinant values; a determinant that
     determines one of its own columns is never minimal.
     """
@@ -218,47 +241,80 @@ def _mine(rows: DataFrame, max_lhs: int, min_records: int, probe_rows: int) -> l
     probe = None
     if large:
         probe = rows.sample(probe_rows / n_rows, seed=1).persist()  # from all partitions; it only refutes
+    try:
+        fds += _minimal_covers(rows, probe, names, varying, unique, distinct, n_rows, max_lhs)
+    finally:
+        if probe is not None:
+            probe.unpersist()
+    return fds
+
+
+def _minimal_covers(
+    rows: DataFrame, probe: DataFrame | None, names: list[str], varying: list[str], unique: set[str],
+    distinct: dict[frozenset, int], n_rows: int, max_lhs: int,
+) -> list[Fd]:
+    """FDs between columns that are neither constant nor unique on the left, by growing covers of difference sets.
+
+    A set that misses a difference set is refuted by the two rows behind it. Only sets that hit all are tested on the data;
+    what fails there grows by any column. Sets live in DataFrames; the driver sees those to be tested.
+    """
+    spark = rows.sparkSession
+    number = {c: i for i, c in enumerate(names)}
+    usable = sorted(number[c] for c in varying if c not in unique)
+    if not usable:
+        return []
+    paired = max(100, min(PAIRED_ROWS, PAIRED_CELLS // len(names) ** 2))
+    source = rows if n_rows <= paired else (probe or rows).sample(min(1.0, paired / (probe.count() if probe else n_rows)), seed=2)
+    missed = difference_sets(source, names, PAIRED_SETS, FAMILY_SETS)
+    targets = spark.createDataFrame([(number[c],) for c in varying], "target int")
+    others = F.array_except(F.array(*[F.lit(i) for i in usable]), F.array("target"))
+    none = F.array().cast("array<array<int>>")
+    families = targets.join(missed, "target", "left").select("target", F.coalesce("family", none).alias("family"), others.alias("usable")).persist()
+    partials = targets.select("target", F.array().cast("array<int>").alias("chosen"))
+    found: list[tuple[list[int], int]] = []
+    levels = [families]
     try:
         for level in range(1, max_lhs + 1):
-            plan = _level_candidates(varying, fds, unique, distinct, level)
+            sets = extended(partials, families, ["target"])
+            if found:
+                rules = spark.createDataFrame(found, "lhs array<int>, rhs int")
+                sets = without_implied(sets, rules, "target", level)
+            sets = sets.persist()
+            levels.append(sets)
+            plan: Plan = {}
+            for r in sets.where("covers").collect():
+                plan.setdefault(tuple(sorted(names[i] for i in r["chosen"])), []).append(names[r["target"]])
+            plan = {lhs: sorted(rhs) for lhs, rhs in _within_counts(plan, distinct).items()}
             if probe is not None and plan:
                 seen = _run_tests(probe, plan)
                 plan = {lhs: [r for r in rhs if lhs not in seen or r in seen[lhs][2]] for lhs, rhs in plan.items()}
                 plan = {lhs: rhs for lhs, rhs in plan.items() if rhs}
-            for lhs, (groups, _, held) in _run_tests(rows, plan, large).items():
+            fresh = []
+            for lhs, (groups, _, held) in _run_tests(rows, plan, probe is not None).items():
                 distinct[frozenset(lhs)] = groups
-                fds += [(frozenset(lhs), r) for r in held]
+                fresh += [(sorted(number[c] for c in lhs), number[r]) for r in held]
+            found += fresh
+            partials = sets.select("target", "chosen")
+            if fresh:
+                done = spark.createDataFrame(fresh, "chosen array<int>, target int")
+                partials = partials.join(done, ["target", "chosen"], "left_anti")
     finally:
-        if probe is not None:
-            probe.unpersist()
-    return fds
-
+        for frame in levels:
+            frame.unpersist()
+    return [(frozenset(names[i] for i in lhs), names[rhs]) for lhs, rhs in found]
 
-def _level_candidates(varying, fds, unique, distinct, level) -> Plan:
-    """Determinants of one size and the right-hand sides still open for them."""
-    by_rhs: dict[str, list[frozenset]] = {}
-    for lhs, rhs in fds:
-        by_rhs.setdefault(rhs, []).append(lhs)
 
-    def implied(r: str, lhs: frozenset) -> bool:
-        return any(x <= lhs for x in by_rhs.get(r, ()))
-
-    plan = {}
-    for combo in combinations(sorted(set(varying) - unique), level):
-        lhs = frozenset(combo)
-        if any(implied(c, lhs - {c}) for c in combo):
-            continue
+def _within_counts(plan: Plan, distinct: dict[frozenset, int]) -> Plan:
+    """Candidates left by counts: a determinant has at least as many values as what it determines."""
+    kept: Plan = {}
+    for lhs, rhs in plan.items():
         most = 1
-        for c in combo:
+        for c in lhs:
             most *= distinct.get(frozenset([c]), float("inf"))
-        rhs = [
-            r
-            for r in varying
-            if r not in lhs and not implied(r, lhs) and distinct.get(frozenset([r]), 0) <= most
-        ]
-        if rhs:
-            plan[combo] = rhs
-    return plan
+        open_rhs = [r for r in rhs if distinct.get(frozenset([r]), 0) <= most]
+        if open_rhs:
+            kept[lhs] = open_rhs
+    return kept
 
 
 def discover_fds(
@@ -276,33 +332,39 @@ def discover_fds(
 
 def check_fd(df: DataFrame, lhs: Sequence[str], rhs: Sequence[str]) -> DataFrame:
     """Whether ``lhs`` determines all of ``rhs`` in the data: one row."""
-    open_rhs = [c for c in rhs if c not in lhs]
-    return _test(comparable(df), tuple(lhs), open_rhs).select(
-        F.array_join(F.array_sort("lhs"), ",").alias("lhs"),
-        F.lit(",".join(sorted(open_rhs))).alias("rhs"),
-        (F.size("held") == len(open_rhs)).alias("holds"),
+    open_rhs = sorted({c for c in rhs if c not in lhs})
+    checked = check_fds(df, [(lhs, c) for c in open_rhs or lhs[:1]])
+    return checked.agg(
+        F.lit(",".join(sorted(lhs))).alias("lhs"), F.lit(",".join(open_rhs)).alias("rhs"), F.bool_and("holds").alias("holds")
     )
 
 
 def check_fds(df: DataFrame, fds: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
-    """``(lhs, rhs, holds)`` for many FDs of one table, one pass per distinct ``lhs``."""
-    wanted: dict[tuple[str, ...], list[str]] = {}
-    for lhs, rhs in fds:
-        wanted.setdefault(tuple(sorted(lhs)), []).append(rhs)
+    """``(lhs, rhs, holds)`` for many FDs of one table.
+
+    An FD holds if its columns have as many distinct tuples as its determinant alone. Tuples are grouped only, so that
+    texts stay out of aggregation buffers; a determinant is counted once for all its FDs.
+    """
     rows = comparable(df)
-    parts = []
-    for lhs, rhs in sorted(wanted.items()):
-        asked = F.explode(F.array(*[F.lit(r) for r in sorted(set(rhs))]))
-        parts.append(
-            _test(rows, lhs, [r for r in sorted(set(rhs)) if r not in lhs])
-            .select("lhs", "held", asked.alias("rhs"))
-            .select(
-                F.array_join("lhs", ",").alias("lhs"),
-                "rhs",
-                (F.array_contains("held", F.col("rhs")) | F.array_contains("lhs", F.col("rhs"))).alias("holds"),
-            )
+    wanted = sorted({(tuple(sorted(lhs)), r) for lhs, r in fds})
+    asked = sorted({lhs for lhs, _ in wanted} | {(*lhs, r) for lhs, r in wanted if r not in lhs})
+    place = {t: i for i, t in enumerate(asked)}
+
+    def counted(columns: tuple[str, ...]) -> DataFrame:
+        distinct = rows.select(*[col(c) for c in columns]).distinct() if columns else rows.limit(1)
+        return distinct.agg(F.count(F.lit(1)).alias("n")).select(F.lit(place[columns]).alias("place"), "n")
+
+    counts = reduce(DataFrame.unionAll, [counted(t) for t in asked])
+    by_place = counts.agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("n"))
+    n = lambda columns: F.col("n")[F.lit(place[columns])]
+    verdicts = [
+        F.struct(
+            F.lit(",".join(lhs)).alias("lhs"), F.lit(r).alias("rhs"),
+            (F.lit(True) if r in lhs else n(lhs) == n((*lhs, r))).alias("holds"),
         )
-    return reduce(DataFrame.unionAll, parts)
+        for lhs, r in wanted
+    ]
+    return by_place.select(F.inline(F.array(*verdicts)))
 
 
 def find_pair_fds(

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from keyscout import defaults
 from keyscout.functions.text import col
+from keyscout.operators.covers import extended
 from keyscout.operators.fd import TABLE, applicable, fd_degrees
 from keyscout.session import cut_lineage
 from keyscout.sources.tables import TableKey, Tables
@@ -67,19 +68,6 @@ def fd_closure(fds: DataFrame, starts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, finished).withColumnRenamed("attrs", "closure")
 
 
-def _subsets(items: DataFrame, size: int) -> DataFrame:
-    """All ``size``-element subsets of each table's ``col_code`` values as sorted arrays."""
-    grown = items.select(*TABLE, F.array("col_code").alias("chosen"))
-    for _ in range(size - 1):
-        nxt = items.select(*TABLE, F.col("col_code").alias("next"))
-        grown = (
-            grown.join(nxt, TABLE)
-            .where(F.col("next") > F.element_at("chosen", -1))
-            .select(*TABLE, F.array_append("chosen", F.col("next")).alias("chosen"))
-        )
-    return grown
-
-
 def _column_roles(fds: DataFrame, columns: DataFrame) -> DataFrame:
     """Role of every column in the key search: L, N, LR or R.
 
@@ -107,6 +95,26 @@ def _column_roles(fds: DataFrame, columns: DataFrame) -> DataFrame:
     )
 
 
+def _left_out(rules: DataFrame, every: DataFrame) -> DataFrame:
+    """``(sys_code, table_code, family)``: sets of columns that each key must have one of.
+
+    For each column, what the closure of all columns but it and those that help determine it in one step leaves out. A
+    column that nothing determines gives the set of itself.
+    """
+    helpers = (
+        rules.select(*TABLE, F.col("rhs").alias("col_code"), F.explode("lhs").alias("helper"))
+        .groupBy(*TABLE, "col_code")
+        .agg(F.collect_set("helper").alias("helpers"))
+    )
+    own = every.select(*TABLE, "every", F.explode("every").alias("col_code")).join(helpers, [*TABLE, "col_code"], "left")
+    near = F.array_append(F.coalesce("helpers", _none()), F.col("col_code"))
+    closed = fd_closure(rules, own.select(*TABLE, F.array_except("every", near).alias("start")))
+    member = F.array_sort(F.array_except("every", "closure"))
+    members = closed.join(every, TABLE).select(*TABLE, member.alias("member")).where(F.size("member") > 0)
+    sized = F.array_sort(F.collect_set(F.struct(F.size("member").alias("n"), "member")))
+    return members.groupBy(*TABLE).agg(F.transform(sized, lambda s: s["member"]).alias("family"))
+
+
 def candidate_keys(
     fds: DataFrame,
     columns: DataFrame,
@@ -120,6 +128,9 @@ def candidate_keys(
     and N together with sets of LR columns; a table stops at the first size that yields keys
     and returns all keys of that size. With ``max_fds``, tables with more FDs use only determinants of one to
     three columns, which may miss keys.
+
+    Sets grow as covers: a key has to hit whatever the closure of any set that is no key leaves out. So only sets that
+    may still become keys are closed, and they grow only by columns beyond their closure.
     """
     rules = fds.select(*TABLE, "lhs", "rhs").distinct()
     if max_fds is not None:
@@ -128,40 +139,43 @@ def candidate_keys(
         rules = rules.withColumn("_n", per_table).where(usable).drop("_n")
     rules = cut_lineage(rules)
     roles = _column_roles(rules, columns).join(rules.select(*TABLE).distinct(), TABLE, "left_semi")
-    roles = cut_lineage(roles)
 
     def role_set(side: str) -> Column:
         return F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("col_code"))))
 
     frames = cut_lineage(
         roles.groupBy(*TABLE).agg(
-            role_set("L").alias("l"), role_set("N").alias("n"), F.count(F.lit(1)).alias("n_cols")
+            role_set("L").alias("l"), role_set("N").alias("n"), role_set("LR").alias("lr"), F.collect_set("col_code").alias("every")
         )
     )
-    l_cols = roles.where(F.col("side") == "L")
-    lr_cols = roles.where(F.col("side") == "LR")
+    families = cut_lineage(frames.join(_left_out(rules, frames.select(*TABLE, "every")), TABLE, "left"))
     found = []
-    pending = frames
-    for pool, base in ((l_cols, F.col("n")), (lr_cols, F.array_union("l", "n"))):
+    pending = frames.select(*TABLE)
+    for pool, base in (("l", F.col("n")), ("lr", F.array_union("l", "n"))):
+        missed = F.filter(F.coalesce("family", F.array().cast("array<array<string>>")), lambda member: ~F.arrays_overlap(member, F.col("base")))
+        phase = families.withColumn("base", base).select(*TABLE, "base", "every", missed.alias("family"), F.col(pool).alias("usable"))
+        partials = pending.select(*TABLE, _none().alias("chosen"), F.lit(None).cast("array<string>").alias("within"))
         for size in range(1, limit + 1):
-            sets = (
-                _subsets(pool, size)
-                .join(pending, TABLE)
-                .where(size + F.size(base) <= limit)
-                .select(*TABLE, F.array_union("chosen", base).alias("start"))
-            )
-            sets = cut_lineage(sets)
+            room = phase.where(size + F.size("base") <= limit)
+            sets = cut_lineage(extended(partials, room, TABLE))
             if sets.isEmpty():
+                break
+            partials = sets.select(*TABLE, "chosen", F.lit(None).cast("array<string>").alias("within"))
+            tried = sets.where("covers").join(room, TABLE).select(*TABLE, "chosen", "every", F.array_sort(F.array_union("chosen", "base")).alias("start"))
+            tried = cut_lineage(tried)
+            if tried.isEmpty():
                 continue
-            keys = (
-                fd_closure(rules, sets)
-                .join(frames, TABLE)
-                .where(F.size("closure") == F.col("n_cols"))
-                .select(*TABLE, F.col("start").alias("key"))
-            )
-            keys = cut_lineage(keys)
+            closed = fd_closure(rules, tried).join(tried, [*TABLE, "start"])
+            closed = cut_lineage(closed.select(*TABLE, "chosen", F.col("start").alias("key"), F.array_except("every", "closure").alias("within")))
+            keys = closed.where(F.size("within") == 0).select(*TABLE, "key")
             found.append(keys)
-            pending = cut_lineage(pending.join(keys.select(*TABLE).distinct(), TABLE, "left_anti"))
+            done = keys.select(*TABLE).distinct()
+            pending = cut_lineage(pending.join(done, TABLE, "left_anti"))
+            partials = (
+                partials.drop("within")
+                .join(pending, TABLE, "left_semi")
+                .join(closed.select(*TABLE, "chosen", "within"), [*TABLE, "chosen"], "left")
+            )
     if not found:
         return frames.where(F.lit(False)).select(*TABLE, F.col("l").alias("key"))
     return reduce(DataFrame.unionByName, found)

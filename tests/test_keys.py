@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 
 from keyscout.operators import fd, keys, profile
@@ -126,3 +127,57 @@ def test_discovered_keys_are_unique_in_the_data(spark, folder):
         assert df.select(*r["cols"]).distinct().count() == df.count()
         for fewer in combinations(r["cols"], len(r["cols"]) - 1):
             assert not fewer or df.select(*fewer).distinct().count() < df.count()
+
+
+def plain_candidates(fds, names, limit=3):
+    """Keys of the first size that has any, over all sets of that size, by roles of columns."""
+    lefts, rights = {c for lhs, _ in fds for c in lhs}, {r for _, r in fds}
+    side = {c: "LR" if c in lefts and c in rights else "L" if c in lefts else "R" if c in rights else "N" for c in names}
+    if "L" not in side.values():
+        single = {(next(iter(lhs)), r) for lhs, r in fds if len(lhs) == 1}
+        for c in [c for c in names if side[c] == "LR"]:
+            if all((b, a) in single for a, b in single if b == c):
+                side[c] = "L"
+
+    def closure(start):
+        known = set(start)
+        while more := {r for lhs, r in fds if set(lhs) <= known and r not in known}:
+            known |= more
+        return known
+
+    of = lambda s: {c for c in names if side[c] == s}
+    for pool, base in ((of("L"), of("N")), (of("LR"), of("L") | of("N"))):
+        for size in range(1, limit + 1 - len(base)):
+            got = [set(s) | base for s in combinations(sorted(pool), size) if closure(set(s) | base) == set(names)]
+            if got:
+                return sorted("".join(sorted(g)) for g in got)
+    return []
+
+
+def test_candidates_match_a_search_of_all_sets(spark):
+    rng = random.Random(8)
+    rules, names = [], "abcdefg"
+    plain = {}
+    for k in range(12):
+        own = {(frozenset(rng.sample(names, rng.choice([1, 1, 2, 2, 3]))), rng.choice(names)) for _ in range(rng.randrange(4, 12))}
+        own = sorted(((lhs, r) for lhs, r in own if r not in lhs), key=str)
+        plain[f"t{k}"] = plain_candidates(own, names)
+        rules += [("s", f"t{k}", sorted(lhs), r, len(lhs)) for lhs, r in own]
+    every = [("s", f"t{k}", c) for k in range(12) for c in names]
+    got = keys.candidate_keys(spark.createDataFrame(rules, fd.FD_SCHEMA), spark.createDataFrame(every, "sys_code string, table_code string, col_code string"))
+    found_ = {}
+    for r in got.collect():
+        found_.setdefault(r["table_code"], []).append("".join(sorted(r["key"])))
+    assert {t: sorted(found_.get(t, [])) for t in plain} == plain and sum(map(bool, plain.values())) > 3
+
+
+def test_hundreds_of_columns_are_not_combined(spark, monkeypatch):
+    tried = []
+    close = keys.fd_closure
+    monkeypatch.setattr(keys, "fd_closure", lambda rules, starts: (tried.append(starts.count()), close(rules, starts))[1])
+    # Nothing determines the 200 determining columns, so no set of three is worth closing.
+    names = [f"c{i:03d}" for i in range(200)] + ["r"]
+    rules = [("s", "t", [c], "r", 1) for c in names[:-1]]
+    every = spark.createDataFrame([("s", "t", c) for c in names], "sys_code string, table_code string, col_code string")
+    assert keys.candidate_keys(spark.createDataFrame(rules, fd.FD_SCHEMA), every).count() == 0
+    assert tried[0] == 201 and sum(tried[1:]) == 0
