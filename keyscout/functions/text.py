@@ -35,6 +35,36 @@ def without_table_prefix(c: str | Column) -> Column:
     return F.regexp_replace(col(c), r"^[^.]*\.", "")
 
 
+# Signs that separate names in node ids, merged nodes and FD texts, and the escape itself.
+SEPARATORS = "%|/,:[]\n"
+
+
+def escaped(c: str | Column) -> Column:
+    """A name in which every separator is written as ``%`` and two hexadecimal digits; other names are unchanged."""
+    out = col(c)
+    for sign in SEPARATORS:
+        out = F.replace(out, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+    return out
+
+
+def unescaped(c: str | Column) -> Column:
+    """The name behind ``escaped``."""
+    out = col(c)
+    for sign in reversed(SEPARATORS):
+        out = F.replace(out, F.lit(f"%{ord(sign):02X}"), F.lit(sign))
+    return out
+
+
 def node_id(sys_code, table_code, col_code) -> Column:
-    """Graph node id of a field: system, table and column joined by a pipe."""
-    return F.concat_ws("|", col(sys_code), col(table_code), col(col_code))
+    """Graph node id of a field: escaped system, table and column joined by a pipe."""
+    return F.concat_ws("|", escaped(sys_code), escaped(table_code), escaped(col_code))
+
+
+def node_text(*parts: str) -> str:
+    """``node_id`` of names that are known."""
+    return "|".join("".join(f"%{ord(x):02X}" if x in SEPARATORS else x for x in part) for part in parts)
+
+
+def node_part(node: str | Column, place: int) -> Column:
+    """System (0), table (1) or column (2) of a node id."""
+    return unescaped(F.get(F.split(node, r"\|"), place))

@@ -1,7 +1,8 @@
 """Dimension division: which fields are attributes or subsets of which dimension.
 
 Input edges are ``(left, right, kind)`` with kind ``FD`` (one column determines another) or
-``FK`` (key to referencing field). A dimension's root is a field with outgoing foreign keys
+``FK`` (key to referencing field). Nodes are ids by ``node_id``, in which separators within names are escaped, so
+names of any form can be joined and taken apart. A dimension's root is a field with outgoing foreign keys
 only.
 """
 
@@ -10,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyscout.functions.text import node_id
-from keyscout.operators.graph import closure, components, merge_nodes, mutual_groups, root_nodes
+from keyscout.functions.text import node_id, node_part
+from keyscout.operators.graph import components, merge_nodes, mutual_groups, reached_by, root_nodes
 from keyscout.session import cut_lineage
 
 
@@ -33,7 +34,7 @@ def relation_edges(fds: DataFrame, fks: DataFrame) -> DataFrame:
 def merged_relations(edges: DataFrame) -> DataFrame:
     """Edges over merged nodes: fields that reference each other become one node."""
     references = edges.where(F.col("kind") == "FK")
-    groups = mutual_groups(references, closure(references))
+    groups = mutual_groups(references)
     return cut_lineage(merge_nodes(edges, groups))
 
 
@@ -48,23 +49,15 @@ def dim_members(edges: DataFrame, roots: DataFrame) -> DataFrame:
     attribute determines or is referenced by, is an attribute. A field that is both is an
     attribute. The root is listed as its own attribute.
     """
-    steps = edges.select(F.col("left").alias("node"), F.col("right").alias("next"), "kind").distinct()
+    # A state is a field with the way it is held; the roots that hold it are bits.
+    way = lambda member, node: F.struct(F.lit(member).alias("member"), F.col(node).alias("node"))
+    as_attr = edges.select(way("attr", "left").alias("state"), way("attr", "right").alias("next"))
+    as_subset = edges.select(
+        way("subset", "left").alias("state"), F.when(F.col("kind") == "FK", way("subset", "right")).otherwise(way("attr", "right")).alias("next")
+    )
+    start = roots.select(F.col("node").alias("root"), way("subset", "node").alias("state"))
+    known = cut_lineage(reached_by(start, as_attr.unionByName(as_subset)).select("root", "state.node", "state.member"))
     state = ["root", "node", "member"]
-    fresh = cut_lineage(roots.select(F.col("node").alias("root"), "node", F.lit("subset").alias("member")))
-    known = fresh
-    stays_subset = (F.col("member") == "subset") & (F.col("kind") == "FK")
-    while not fresh.isEmpty():
-        reached = (
-            fresh.join(steps, "node")
-            .select(
-                "root",
-                F.col("next").alias("node"),
-                F.when(stays_subset, "subset").otherwise("attr").alias("member"),
-            )
-            .distinct()
-        )
-        fresh = cut_lineage(reached.join(known, state, "left_anti"))
-        known = known.unionByName(fresh)
     attributes = known.where(F.col("member") == "attr").select("root", "node")
     subsets = known.where(F.col("member") == "subset").join(attributes, ["root", "node"], "left_anti")
     own = roots.select(F.col("node").alias("root"), "node")
@@ -83,7 +76,7 @@ def dim_groups(roots: DataFrame) -> DataFrame:
     """
     in_table = roots.select(
         "node", F.explode(F.split("node", "/")).alias("part")
-    ).select("node", F.concat(F.lit("\x1ftable "), F.split("part", r"\|")[1]).alias("table"))
+    ).select("node", F.concat(F.lit("\x1ftable "), node_part("part", 1)).alias("table"))
     linked = components(in_table.select(F.col("node").alias("left"), F.col("table").alias("right")))
     labelled = roots.join(linked, "node")
     least = labelled.groupBy("component").agg(F.min("node").alias("dim_group"))
@@ -160,11 +153,10 @@ def dim_result(roots: DataFrame, members: DataFrame, mains: DataFrame) -> DataFr
         F.bool_or(F.col("member") == "subset").alias("subset"),
     )
     fields = kinds.select("dim", "attr", "subset", F.explode(F.split("node", "/")).alias("field"))
-    part = F.split("field", r"\|")
     return fields.select(
-        part[0].alias("sys_code"),
-        part[1].alias("table_code"),
-        part[2].alias("col_code"),
+        node_part("field", 0).alias("sys_code"),
+        node_part("field", 1).alias("table_code"),
+        node_part("field", 2).alias("col_code"),
         F.col("dim").alias("dim_node"),
         F.col("dim").alias("origin_dim"),
         F.when(F.col("attr"), "attr").otherwise("subset").alias("relation_type"),

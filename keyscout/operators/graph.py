@@ -1,4 +1,4 @@
-"""Loops over edge DataFrames: closure, mutual groups, components, roots.
+"""Loops over edge DataFrames: closure, mutual groups, components, roots, reachability.
 
 Nodes are fields, edges are ``(left, right)``. Every round is cut with a reliable checkpoint,
 so plans stay short and a lost executor costs one round.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from keyscout.session import cut_lineage
 
@@ -84,3 +85,33 @@ def components(edges: DataFrame) -> DataFrame:
         if jumped.join(old, "node").where(F.col("component") != F.col("old")).isEmpty():
             return jumped
         labels = jumped
+
+
+WORD = 63  # roots per word of bits; the sign bit stays unused
+
+
+def reached_by(start: DataFrame, steps: DataFrame) -> DataFrame:
+    """``(root, state)``: every state that can be reached from each root.
+
+    ``start`` holds ``(root, state)``, ``steps`` ``(state, next)``; a state is any orderable value. Roots are bits: a row
+    holds the roots of one word that reach one state, so there are as many rows as states, not as root and state
+    pairs, until the result is read off. Each round hands on only the bits that are new.
+    """
+    ordered = Window.orderBy("root")  # roots are metadata, one row each
+    numbers = start.select("root").distinct().withColumn("_n", F.row_number().over(ordered) - 1)
+    numbers = cut_lineage(numbers.select("root", F.floor(F.col("_n") / WORD).alias("word"), (F.col("_n") % WORD).cast("int").alias("bit")))
+    own = start.join(numbers, "root").select("state", "word", F.expr("shiftleft(1L, bit)").alias("bits"))
+    known = cut_lineage(own.groupBy("state", "word").agg(F.bit_or("bits").alias("bits")))
+    fresh = known
+    steps = cut_lineage(steps.distinct())
+    while True:
+        handed = fresh.join(steps, "state").groupBy(F.col("next").alias("state"), "word").agg(F.bit_or("bits").alias("_new"))
+        both = known.join(handed, ["state", "word"], "full").withColumn("bits", F.coalesce("bits", F.lit(0).cast("long")))
+        both = both.withColumn("_new", F.coalesce("_new", F.lit(0).cast("long")).bitwiseAND(F.bitwise_not("bits")))
+        both = cut_lineage(both)
+        fresh = both.where("_new <> 0").select("state", "word", F.col("_new").alias("bits"))
+        known = both.select("state", "word", F.col("bits").bitwiseOR(F.col("_new")).alias("bits"))
+        if fresh.isEmpty():
+            break
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit("bits", i) == 1)
+    return known.select("state", "word", F.explode(places).alias("bit")).join(numbers, ["word", "bit"]).select("root", "state")

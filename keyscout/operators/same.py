@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keyscout.functions.text import as_text, col, node_id, normalize, not_blank
+from keyscout.functions.text import as_text, col, node_id, node_text, normalize, not_blank
 from keyscout.operators.fd import TABLE, fds_by_level, find_pair_fds
 from keyscout.operators.graph import components
 from keyscout.operators.keys import fd_closure
@@ -192,7 +192,7 @@ def same_fields(
 
 
 def _node(table: TableKey, column: str) -> str:
-    return "|".join((*table, column))
+    return node_text(*table, column)
 
 
 def field_clusters(detail: DataFrame, profile: DataFrame) -> DataFrame:

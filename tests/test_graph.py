@@ -116,3 +116,45 @@ def test_division_marks_fields_that_are_both(spark, rows):
         ("a", "j", both, "attr", "0"), ("a", "k", both, "attr", "0"), ("a", "p", both, "attr", "1"),
         ("c", "x", both, "subset", "1"), ("d", "m", both, "attr", "0"),
     ]
+
+
+def plain_reach(pairs):
+    step = {}
+    for a, b in pairs:
+        step.setdefault(a, set()).add(b)
+    reach = {}
+    for start in step:
+        todo, seen = [start], set()
+        while todo:
+            for b in step.get(todo.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        reach[start] = seen
+    return reach
+
+
+def test_bits_of_many_roots_reach_what_a_plain_search_does(spark, rows):
+    rng = random.Random(5)
+    pairs = [(f"n{rng.randrange(60):02d}", f"n{rng.randrange(60):02d}") for _ in range(90)]
+    reach = plain_reach(pairs)
+    roots = [f"r{i:03d}" for i in range(150)]
+    start = [(r, f"n{rng.randrange(60):02d}") for r in roots]
+    got = graph.reached_by(spark.createDataFrame(start, "root string, state string"), edges(spark, *pairs).toDF("state", "next"))
+    assert rows(got, "root", "state") == sorted((r, s) for r, n in start for s in {n} | reach.get(n, set()))
+
+
+def test_names_may_hold_separators(spark, rows):
+    from keyscout.operators import fd, fk
+
+    odd, other = ("s|1", "a/b", "k,1"), ("s", "c:d%7C", "x[y]")
+    edge = spark.createDataFrame([(*odd, *other, 1.0, 5), (*other, *odd, 1.0, 5), (*odd, "s", "t", "c", 1.0, 5)], "parent_sys string, parent_table string, parent_col string, child_sys string, child_table string, child_col string, ratio double, parent_size long")
+    fds = fd.fd_rows(spark, [(frozenset(["k,1"]), "v:2")], *odd[:2])
+    got = dimension.dim_division(dimension.relation_edges(fds, fk.named_fks(edge)))
+    assert rows(got, "sys_code", "table_code", "col_code", "relation_type") == sorted([(*odd, "attr"), (*other, "attr"), ("s", "t", "c", "subset"), (*odd[:2], "v:2", "attr")])
+    from keyscout.sources import fd_text
+
+    fds = fd.fd_rows(spark, [(frozenset(["k,1", "a]b"]), "v:2"), (frozenset(), "%2C\n")], *odd[:2])
+    again = fd_text.parse_fd_lines(fd_text.fd_lines(fds))
+    assert rows(again) == rows(fds, "lhs", "rhs", "fd_level")
+    assert rows(fd_text.load_stored_fds(fd_text.stored_fds(fds))) == rows(fds)
