@@ -839,7 +839,7 @@ def _key_ctes(names: list[str]) -> sql.Ctes:
     """Candidate keys: column roles from FDs, coverage of each column set from the data."""
     from itertools import combinations
 
-    ctes = sql.fd_ctes(fx.sql_tables(names), 2)
+    ctes = sql.fd_ctes(fx.sql_tables(names), 3)
     columns, sets = [], []
     for i, t in enumerate(names):
         cols = sorted(fx.COLUMNS[t])
@@ -891,14 +891,14 @@ def _key_ctes(names: list[str]) -> sql.Ctes:
 )
 def candidate_keys(spark, folder):
     tables = fx.frames(spark, folder, _KEY_SET)
-    found = keys.candidate_keys(discovery.fds_of_tables(spark, tables, 2), discovery.column_rows(spark, tables))
+    found = keys.candidate_keys(discovery.fds_of_tables(spark, tables), discovery.column_rows(spark, tables))
     return found.select("sys_code", "table_code", F.array_join(F.array_sort("key"), ",").alias("key"))
 
 
 @register(
     "candidate_keys_sql",
     sql.query(
-        sql.fd_ctes(fx.sql_tables(_KEY_SET), 2)
+        sql.fd_ctes(fx.sql_tables(_KEY_SET), 3)
         + [
             ("columns_", " UNION ALL ".join(f"SELECT '{t}' AS table_code, {len(fx.COLUMNS[t])} AS n_cols" for t in _KEY_SET)),
             ("rules", "SELECT table_code, CASE WHEN lhs = '' THEN [] ELSE string_split(lhs, ',') END AS lhs, rhs FROM fds"),
@@ -916,7 +916,7 @@ def candidate_keys(spark, folder):
 )
 def candidate_keys_sql(spark, folder):
     tables = fx.frames(spark, folder, _KEY_SET)
-    found = keys.candidate_keys_sql(discovery.fds_of_tables(spark, tables, 2), discovery.column_rows(spark, tables))
+    found = keys.candidate_keys_sql(discovery.fds_of_tables(spark, tables), discovery.column_rows(spark, tables))
     return found.select("sys_code", "table_code", F.array_join("key", ",").alias("key"))
 
 
@@ -977,7 +977,7 @@ def verify_joint_pk(spark, folder):
     ),
 )
 def discover_pk(spark, folder):
-    found = discovery.discover_pk(spark, fx.frames(spark, folder, _KEY_SET), max_lhs=2)
+    found = discovery.discover_pk(spark, fx.frames(spark, folder, _KEY_SET))
     return found.select("sys_code", "table_code", "kind", F.array_join("cols", ",").alias("cols"))
 
 

@@ -64,7 +64,10 @@ class ResultStore:
 
     def _version(self, name: str) -> int:
         """The number of the version that counts; 0 until a result is first replaced."""
-        listed = f"{self._path(name)}__versions"
+        return self._listed(self._path(name))
+
+    def _listed(self, folder: str) -> int:
+        listed = f"{folder}__versions"
         path = self.spark._jvm.org.apache.hadoop.fs.Path(listed)
         if not path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
             return 0
@@ -91,7 +94,10 @@ class ResultStore:
         """Write a whole result anew; ``df`` may read the result it replaces."""
         version = self._version(name) + 1
         self._write(name, df, self._current(name, version), "overwrite")
-        self.spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{self._path(name)}__versions")
+        self._name_version(self._path(name), version)
+
+    def _name_version(self, folder: str, version: int) -> None:
+        self.spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{folder}__versions")
 
     def read(self, name: str) -> DataFrame:
         return self._load(name, self._current(name))
@@ -189,8 +195,15 @@ class ResultStore:
         self.set_status(tables.select(*key).join(found, key, "left_anti"), "joint_fk", "2", started)
 
     def save_consolidated(self, name: str, df: DataFrame) -> None:
-        """The consolidated table of an insert and update feed, under its own name."""
-        df.write.mode("overwrite").parquet(f"{self.folder}/tables/{name}")
+        """The consolidated table of an insert and update feed, under its own name.
+
+        Each save is a new version, so ``df`` may be derived from the table's earlier one.
+        """
+        folder = f"{self.folder}/tables/{name}"
+        version = self._listed(folder) + 1
+        df.write.mode("overwrite").parquet(f"{folder}/v{version}")
+        self._name_version(folder, version)
 
     def read_consolidated(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/tables/{name}")
+        folder = f"{self.folder}/tables/{name}"
+        return self.spark.read.parquet(f"{folder}/v{self._listed(folder)}")

@@ -180,3 +180,17 @@ def test_outcomes_are_saved(spark, rows, tmp_path):
     assert rows(store.status().where("stage = 'fd_check'"), "table_code", "code") == [("a", "1"), ("b", "2")]
     store.save_consolidated("t", fds)
     assert store.read_consolidated("t").count() == 1
+
+
+def test_a_consolidated_table_may_be_derived_from_itself(spark, rows, tmp_path):
+    from keyscout.operators.consolidate import latest_per_key
+
+    store = ResultStore(spark, str(tmp_path))
+    schema = "k string, v string, day string"
+    store.save_consolidated("t", spark.createDataFrame([("a", "1", "20200101"), ("b", "1", "20200101")], schema))
+    increment = spark.createDataFrame([("b", "2", "20200102"), ("c", "1", "20200102")], schema)
+    store.save_consolidated("t", latest_per_key(store.read_consolidated("t").unionByName(increment), ["k"], "day"))
+    assert rows(store.read_consolidated("t"), "k", "v") == [("a", "1"), ("b", "2"), ("c", "1")]
+    # A save that fails before its version is named leaves the table as it was.
+    increment.write.parquet(f"{tmp_path}/tables/t/v3")
+    assert store.read_consolidated("t").count() == 3
