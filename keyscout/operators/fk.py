@@ -5,19 +5,18 @@ Edges run from the key side (``parent``) to the referencing side (``child``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from keyscout import defaults
 from keyscout.functions.text import col, normalize, not_blank
 from keyscout.operators.histogram import FIELD
 from keyscout.operators.profile import effective_type
-from keyscout.session import cut_lineage, settled
+from keyscout.session import settled
 from keyscout.sources.tables import TableKey, Tables
 
 PARENT = ["parent_sys", "parent_table", "parent_col"]
@@ -119,58 +118,54 @@ def _membership_counts(tables: Tables, fields: Sequence[tuple[str, str, str]]) -
     )
 
 
-def inclusion_unary(tables: Tables, pairs: Sequence[tuple]) -> DataFrame:
+def _bits_of(word: str, first: int) -> Column:
+    """Numbers of the bits that are set in a word whose lowest bit is number ``first``."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda k: F.getbit(word, k) == 1)
+    return F.transform(places, lambda k: k + first)
+
+
+def inclusion_unary(tables: Tables, pairs: DataFrame | Sequence[tuple]) -> DataFrame:
     """Share of the child's distinct values found in the parent, for many column pairs at once.
 
-    ``pairs`` holds ``(parent_sys, parent_table, parent_col, child_sys, child_table,
-    child_col)``. A blank in the child counts as a value that is never found. Pairs are
-    counted over the sets of fields that occur, not over the values.
+    ``pairs`` are ``(parent_sys, parent_table, parent_col, child_sys, child_table, child_col)``, as rows or as a
+    DataFrame. A blank in the child counts as a value that is never found. Every set of fields that holds some value
+    is taken apart into its members, and a member meets only its own pairs, so the work follows the sets and pairs
+    that occur. Only the names of the fields come to the driver, since a scan has to name its columns.
     """
-    pairs = sorted(set(pairs))
-    fields = sorted({p[:3] for p in pairs} | {p[3:] for p in pairs})
-    index = {field: i for i, field in enumerate(fields)}
+    spark = next(iter(tables.values())).sparkSession
+    if not isinstance(pairs, DataFrame):
+        pairs = spark.createDataFrame(sorted(set(map(tuple, pairs))), ", ".join(f"{c} string" for c in EDGE))
+    pairs = settled(pairs.select(*EDGE).distinct())
+    sides = pairs.select(*PARENT).union(pairs.select(*CHILD))
+    fields = sorted(tuple(r) for r in sides.distinct().collect())
+    sizes = ["parent_size", "child_distinct", "child_filled", "contained"]
+    if not fields:
+        return pairs.select(*EDGE, *[F.lit(0).cast("long").alias(c) for c in sizes], F.lit(0.0).alias("ratio"))
+    numbers = spark.createDataFrame([(i, *f) for i, f in enumerate(fields)], "no int, sys_code string, table_code string, col_code string")
+
+    def numbered(side: Sequence[str], name: str) -> DataFrame:
+        return numbers.select(F.col("no").alias(name), *[F.col(f).alias(c) for f, c in zip(FIELD, side)])
+
+    known = pairs.join(numbered(PARENT, "p"), PARENT).join(numbered(CHILD, "c"), CHILD)
+    # A pair of a field with itself gives the field's own sizes.
+    wanted = known.select("p", "c").union(numbers.select(F.col("no").alias("p"), F.col("no").alias("c")))
     counts = _membership_counts(tables, fields)
-    if len(pairs) > PAIRS_PER_PASS:
-        counts = cut_lineage(counts)  # several passes read it
-
-    def holds(i: int) -> Column:
-        return F.col(f"w{i // WORD}").bitwiseAND(F.lit(1 << (i % WORD)).cast("long")) != 0
-
-    filled = ~F.col("blank")
-    n = F.col("n")
-    outputs = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        used = sorted({index[p[:3]] for p in chunk} | {index[p[3:]] for p in chunk})
-        zero = F.lit(0).cast("long")
-
-        def total(condition: Column) -> Column:
-            return F.coalesce(F.sum(F.when(condition, n)), zero)
-
-        sums = counts.agg(
-            *[total(holds(i) & filled).alias(f"filled{i}") for i in used],
-            *[total(holds(i)).alias(f"all{i}") for i in used],
-            *[
-                total(holds(index[p[:3]]) & holds(index[p[3:]]) & filled).alias(f"both{k}")
-                for k, p in enumerate(chunk)
-            ],
-        )
-        rows = [
-            F.struct(
-                *[F.lit(v).alias(c) for v, c in zip(p, EDGE)],
-                F.col(f"filled{index[p[:3]]}").alias("parent_size"),
-                F.col(f"all{index[p[3:]]}").alias("child_distinct"),
-                F.col(f"filled{index[p[3:]]}").alias("child_filled"),
-                F.col(f"both{k}").alias("contained"),
-            )
-            for k, p in enumerate(chunk)
-        ]
-        outputs.append(sums.select(F.inline(F.array(*rows))))
+    words = [c for c in counts.columns if c not in ("blank", "n")]
+    places = F.flatten(F.array(*[_bits_of(w, i * WORD) for i, w in enumerate(words)]))
+    members = counts.select(F.explode(places).alias("c"), F.array(*words).alias("words"), "blank", "n")
+    shared = members.join(wanted, "c").where(F.expr(f"getbit(words[int(p div {WORD})], p % {WORD}) = 1"))
+    met = shared.groupBy("p", "c").agg(
+        F.sum("n").alias("every"), F.coalesce(F.sum(F.when(~F.col("blank"), F.col("n"))), F.lit(0)).alias("filled")
+    )
+    met = settled(met)  # one row per pair
+    own = met.where("p = c")
+    parent_sizes = own.select("p", F.col("filled").alias("parent_size"))
+    child_sizes = own.select("c", F.col("every").alias("child_distinct"), F.col("filled").alias("child_filled"))
+    both = met.select("p", "c", F.col("filled").alias("contained"))
+    sized = known.join(both, ["p", "c"], "left").join(parent_sizes, "p", "left").join(child_sizes, "c", "left")
+    found = sized.select(*EDGE, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in sizes])
     ratio = F.when(F.col("child_distinct") > 0, F.col("contained") / F.col("child_distinct")).otherwise(0.0)
-    return reduce(DataFrame.unionByName, outputs).withColumn("ratio", ratio)
-
-
-PAIRS_PER_PASS = 100
+    return found.withColumn("ratio", ratio)
 
 
 def passes_threshold(
@@ -218,11 +213,7 @@ def discover_fk(
     candidates = fk_candidates(parents, profile, systems, min_avg_len=min_avg_len).where(
         F.col("parent_table") != F.col("child_table")
     )
-    # Pairs of columns: bounded by the schema, and needed here so that the scan reads only them.
-    pairs = [tuple(r) for r in candidates.collect()]
-    if not pairs:
-        return _no_fks(profile)
-    found = inclusion_unary(tables, pairs).where(
+    found = inclusion_unary(tables, candidates).where(
         (F.col("child_filled") >= defaults.FK_MIN_DISTINCT)
         & passes_threshold(F.col("ratio"), F.col("parent_size"), threshold, small, small_threshold)
     )
@@ -238,20 +229,6 @@ def named_fks(edges: DataFrame) -> DataFrame:
     )
 
 
-FK_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in [*EDGE, "fk_name"]]
-    + [
-        T.StructField("ratio", T.DoubleType()),
-        T.StructField("parent_size", T.LongType()),
-        T.StructField("id", T.StringType()),
-    ]
-)
-
-
-def _no_fks(frame: DataFrame) -> DataFrame:
-    return frame.sparkSession.createDataFrame([], FK_SCHEMA)
-
-
 def fk_diagram_nodes(fks: DataFrame) -> DataFrame:
     """Four diagram rows per foreign key within one system, numbered in the order of names.
 
@@ -347,13 +324,17 @@ def joint_fk_tables(candidates: DataFrame) -> DataFrame:
     )
 
 
+Prune = Callable[[DataFrame], DataFrame]
+
+
 def joint_fk_assignments(
-    candidates: DataFrame, limit: int = defaults.JOINT_KEY_LIMIT
+    candidates: DataFrame, limit: int = defaults.JOINT_KEY_LIMIT, prune: Prune | None = None
 ) -> DataFrame:
-    """All ways to assign different child columns to the columns of a joint key.
+    """Ways to assign different child columns to the columns of a joint key.
 
-    ``pairs`` lists ``(parent_col, child_col)`` by parent column. Built column by column with
-    joins on the child table, so only complete tables meet.
+    ``pairs`` lists ``(parent_col, child_col)`` by parent column. Built column by column with joins on the child
+    table, so only complete tables meet. ``prune`` gets every incomplete level of two columns or more and keeps
+    what may still become a foreign key; without it all assignments are built.
     """
     whole = candidates.join(joint_fk_tables(candidates), [*TARGET, "key_size"])
     rank = F.dense_rank().over(Window.partitionBy(*GROUP).orderBy("parent_col"))
@@ -373,9 +354,83 @@ def joint_fk_assignments(
             .select(*TARGET, "key_size", F.array_append("pairs", F.col("next")).alias("pairs"))
         )
         complete.append(grown.where(F.col("key_size") == pos))
+        if prune is not None and pos < limit:
+            grown = prune(grown.where(F.col("key_size") > pos))
     return reduce(DataFrame.unionByName, complete).select(*TARGET, "pairs")
 
 
+def single_column_rows(tables: Tables, candidates: DataFrame) -> DataFrame:
+    """Per column pair of ``candidates`` ``(*EDGE, records, filled, contained)``, counted in rows of the child.
+
+    ``contained`` counts rows whose value the parent column has. Values are counted before they are shuffled, and a
+    value meets the set of parent columns that hold it as bits, not as rows.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    pairs = settled(candidates.select(*EDGE).distinct())
+    parents = sorted(tuple(r) for r in pairs.select(*PARENT).distinct().collect())
+    children = sorted(tuple(r) for r in pairs.select(*CHILD).distinct().collect())
+    parts = []
+    for side, fields in (("p", parents), ("c", children)):
+        of_table: dict[TableKey, list] = {}
+        for i, (sys_code, table_code, name) in enumerate(fields):
+            of_table.setdefault((sys_code, table_code), []).append((i, name))
+        for table, columns in of_table.items():
+            cells = [F.struct(F.lit(i).alias("no"), normalize(c).alias("value")) for i, c in columns]
+            parts.append(tables[table].select(F.inline(F.array(*cells))).withColumn("side", F.lit(side)))
+    if not parts:
+        return pairs.select(*EDGE, *[F.lit(0).cast("long").alias(c) for c in ("records", "filled", "contained")])
+    counted = reduce(DataFrame.unionByName, parts).groupBy("value", "side", "no").agg(F.count(F.lit(1)).alias("n"))
+    words = [f"w{i}" for i in range((len(parents) + WORD - 1) // WORD)]
+    bit = F.expr(f"CASE WHEN side = 'p' THEN shiftleft(1L, no % {WORD}) END")
+    holders = [
+        F.coalesce(F.bit_or(F.when(F.expr(f"no div {WORD}") == i, bit)), F.lit(0).cast("long")).alias(w) for i, w in enumerate(words)
+    ]
+    # At most one entry per child column; blanks are no values of a parent.
+    uses = F.collect_list(F.when(F.col("side") == "c", F.struct(F.col("no").alias("c"), "n"))).alias("uses")
+    by_value = counted.groupBy("value").agg(*holders, uses)
+    blank = (F.col("value") == "").alias("blank")
+    sets = by_value.select(*words, blank, F.inline("uses")).groupBy("c", "blank", *words).agg(F.sum("n").alias("n"))
+
+    def numbered(side: Sequence[str], fields: Sequence[tuple], name: str) -> DataFrame:
+        return spark.createDataFrame([(i, *f) for i, f in enumerate(fields)], ", ".join([f"{name} int", *[f"{c} string" for c in side]]))
+
+    known = pairs.join(numbered(PARENT, parents, "p"), PARENT).join(numbered(CHILD, children, "c"), CHILD)
+    holds = F.expr(f"getbit(words[int(p div {WORD})], p % {WORD}) = 1") & ~F.col("blank")
+    n = F.coalesce("n", F.lit(0))
+    return (
+        known.join(sets.select("c", "blank", "n", F.array(*words).alias("words")), "c", "left")
+        .groupBy(*EDGE)
+        .agg(
+            F.sum(n).alias("records"),
+            F.sum(F.when(~F.col("blank"), n).otherwise(0)).alias("filled"),
+            F.sum(F.when(holds, n).otherwise(0)).alias("contained"),
+        )
+    )
+
+
+def _may_pass(contained: Column, least_rows: Column, threshold: float, max_misses: int | None) -> Column:
+    """Whether tuples of at least ``least_rows`` complete rows, of which at most ``contained`` are found, may reach the ratio."""
+    enough = contained + 1e-6 >= threshold * least_rows
+    return enough if max_misses is None or threshold <= 0 else enough & (least_rows - contained <= max_misses)
+
+
+def bounded_candidates(
+    tables: Tables, candidates: DataFrame, threshold: float, max_misses: int | None = None
+) -> DataFrame:
+    """Candidates of joint keys whose single columns allow the tuple to reach ``threshold``.
+
+    A row whose tuple is found has every single value found, so a column's found rows bound the tuple's. Rows with
+    a blank in the tuple do not count: there are no more of them than blanks in this column and, for each further
+    column of the key, in the candidate of the same tables with most blanks.
+    """
+    rows = single_column_rows(tables, candidates)
+    counted = candidates.join(rows, EDGE).withColumn("blanks", F.col("records") - F.col("filled"))
+    most = F.max("blanks").over(Window.partitionBy(*TARGET))
+    least = F.greatest(F.lit(0), F.col("filled") - (F.col("key_size") - 1) * most)
+    kept = counted.withColumn("least", least).where(_may_pass(F.col("contained"), F.col("least"), threshold, max_misses))
+    return kept.select(*candidates.columns, "records", "filled")
+
+
 def _tuples(df: DataFrame, choices: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
     """``(choice, tuple, n)``: right-trimmed tuples without blanks, counted per choice."""
     repeated = df.select(
@@ -496,6 +551,19 @@ def joint_group_id() -> Column:
     )
 
 
+def _assignments(rows: DataFrame) -> list[tuple]:
+    """Assignments for ``inclusion_nary``; their number is that of tuples of columns that are still possible."""
+    return [
+        (
+            (r["parent_sys"], r["parent_table"]),
+            [p["parent_col"] for p in r["pairs"]],
+            (r["child_sys"], r["child_table"]),
+            [p["child_col"] for p in r["pairs"]],
+        )
+        for r in rows.select("parent_sys", "parent_table", "child_sys", "child_table", "pairs").distinct().collect()
+    ]
+
+
 def discover_joint_fk(
     tables: Tables,
     joint_keys: DataFrame,
@@ -507,19 +575,34 @@ def discover_joint_fk(
     small_threshold: float = 1.0,
     max_misses: int | None = None,
 ) -> DataFrame:
-    """Foreign keys of joint primary keys of two or three columns."""
-    candidates = joint_fk_candidates(joint_keys, settled(profile), systems, min_avg_len=min_avg_len)
-    # Assignments of columns: bounded by the schema.
-    candidates = settled(candidates)
-    assignments = [
-        (
-            (r["parent_sys"], r["parent_table"]),
-            [p["parent_col"] for p in r["pairs"]],
-            (r["child_sys"], r["child_table"]),
-            [p["child_col"] for p in r["pairs"]],
+    """Foreign keys of joint primary keys of two or three columns.
+
+    Level by level: single columns bound pairs and pairs bound triples, all counted in rows, so that only tuples
+    whose parts may reach the threshold are built. The bounds are exact; no foreign key is lost.
+    """
+    candidates = settled(joint_fk_candidates(joint_keys, settled(profile), systems, min_avg_len=min_avg_len))
+    least = min(threshold, small_threshold) if small else threshold
+    bounded = settled(bounded_candidates(tables, candidates, least, max_misses))
+    kept = bounded.select(*candidates.columns)
+    blanks = bounded.select(*CHILD, (F.col("records") - F.col("filled")).alias("blanks")).distinct()
+    most = blanks.groupBy("child_sys", "child_table").agg(F.max("blanks").alias("most"))
+
+    def prune(level: DataFrame) -> DataFrame:
+        level = settled(level)
+        tested = inclusion_nary(tables, _assignments(level), None) if not level.isEmpty() else None
+        if tested is None:
+            return level
+        tables_of = ["parent_sys", "parent_table", "child_sys", "child_table"]
+        further = F.col("key_size") - F.size("pairs")
+        # An assignment without a complete row has no row in ``tested`` and no complete tuple of more columns either.
+        return settled(
+            level.join(tested.select(*tables_of, "pairs", "rows", "contained"), [*tables_of, "pairs"])
+            .join(most, ["child_sys", "child_table"])
+            .where(_may_pass(F.col("contained"), F.greatest(F.lit(0), F.col("rows") - further * F.col("most")), least, max_misses))
+            .select(*level.columns)
         )
-        for r in joint_fk_assignments(candidates).collect()
-    ]
+
+    assignments = _assignments(joint_fk_assignments(kept, prune=prune))
     if not assignments:
         return profile.sparkSession.createDataFrame([], JOINT_FK_SCHEMA)
     tested = inclusion_nary(tables, assignments, max_misses)

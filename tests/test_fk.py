@@ -145,3 +145,48 @@ def test_violations_and_diagram(spark, rows):
     assert rows(fk.fk_diagram_nodes(fk.named_fks(edges)), "node_code", "node_name", "node_type") == [
         ("Ref_o1", "1", "c:Object"), ("Ref_o1", "p_k_c_f", "o:Reference"), ("c", "1", "c:SourceSymbol"), ("p", "1", "c:DestinationSymbol"),
     ]
+
+
+def test_unary_pairs_stay_in_spark(spark):
+    frames = {("s", "p"): frame(spark, ["a", "b"], "k"), ("s", "c"): frame(spark, ["a", None, "z", "a "], "f"), ("s", "e"): frame(spark, [], "f")}
+    pairs = spark.createDataFrame([("s", "p", "k", "s", "c", "f"), ("s", "p", "k", "s", "e", "f")], ", ".join(f"{c} string" for c in fk.EDGE))
+    got = {r["child_table"]: (r["parent_size"], r["child_distinct"], r["child_filled"], r["contained"], r["ratio"]) for r in fk.inclusion_unary(frames, pairs).collect()}
+    assert got == {"c": (2, 3, 2, 1, 1 / 3), "e": (2, 0, 0, 0, 0.0)}
+    assert fk.inclusion_unary(frames, pairs.limit(0)).count() == 0
+
+
+def test_joint_levels_build_only_what_may_pass(spark, monkeypatch):
+    n, width = 120, 30
+    parent = spark.range(n).select(*[F.format_string(f"p{i % 3}x%03d", F.col("id") * (1 if i % 3 else 0) + (F.col("id") if i % 3 == 0 else F.lit(0))).alias(f"a{i}") for i in range(3)])
+    # Of the 30 child columns, one holds values of each parent column; the rest hold others of the same lengths.
+    child = spark.range(3 * n).select(
+        *[F.format_string((f"p{i}x" if i < 3 else f"q{i % 10}x") + "%03d", F.col("id") % n).alias(f"c{i:02d}") for i in range(width)]
+    )
+    frames = {("s", "p"): parent, ("s", "c"): child}
+    columns = ", ".join(f"{c} {t}" for c, t in [*[(x, "string") for x in fk.PARENT], ("group_code", "int"), ("key_size", "int"), *[(x, "string") for x in fk.CHILD]])
+    cand = spark.createDataFrame([("s", "p", f"a{i}", 0, 3, "s", "c", f"c{j:02d}") for i in range(3) for j in range(width)], columns)
+    monkeypatch.setattr(fk, "joint_fk_candidates", lambda *a, **k: cand)
+    seen = []
+    whole = fk.inclusion_nary
+    monkeypatch.setattr(fk, "inclusion_nary", lambda t, a, m=None: seen.append(len(list(a))) or whole(t, a, m))
+    prof = spark.createDataFrame([], "sys_code string")
+    got = fk.discover_joint_fk(frames, None, prof).collect()
+    assert [[p["child_col"] for p in r["pairs"]] for r in got] == [["c00", "c01", "c02"]]
+    assert seen == [1, 1]
+
+
+def test_joint_bounds_lose_nothing(spark):
+    rng = random.Random(5)
+    cell = lambda: rng.choice(["u", "v", "w", "x", None])
+    parent = [tuple(rng.choice("uvw") for _ in range(3)) for _ in range(9)]
+    for seed in range(3):
+        child = [tuple(cell() if rng.random() < 0.4 else rng.choice(parent)[k] for k in range(3)) for _ in range(60)]
+        frames = {("s", "p"): spark.createDataFrame(parent, "a string, b string, d string"), ("s", "c"): spark.createDataFrame(child, "x string, y string, z string")}
+        columns = ", ".join(f"{c} {t}" for c, t in [*[(x, "string") for x in fk.PARENT], ("group_code", "int"), ("key_size", "int"), *[(x, "string") for x in fk.CHILD]])
+        cand = spark.createDataFrame([("s", "p", p, 0, 3, "s", "c", c) for p in "abd" for c in "xyz"], columns)
+        every = fk._assignments(fk.joint_fk_assignments(cand))
+        ratios = {tuple(p["child_col"] for p in r["pairs"]): r["ratio"] for r in fk.inclusion_nary(frames, every).collect()}
+        kept = fk.bounded_candidates(frames, cand, 0.5)
+        left = {(r["parent_col"], r["child_col"]) for r in kept.collect()}
+        for cols, ratio in ratios.items():
+            assert ratio < 0.5 or all(x in left for x in zip("abd", cols))
