@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: ``cut_lineage`` for loops that join their own result.
+
+    A checkpoint keeps the optimizer's estimate of its size. Each join multiplies the estimates of its sides, so over
+    the rounds of a loop the number outgrows all bounds and planning never ends; files have a size of their own.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    path = f"{shared_folder(spark)}/rounds-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage, for a small result that several steps read.
 

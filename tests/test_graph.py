@@ -158,3 +158,36 @@ def test_names_may_hold_separators(spark, rows):
     again = fd_text.parse_fd_lines(fd_text.fd_lines(fds))
     assert rows(again) == rows(fds, "lhs", "rhs", "fd_level")
     assert rows(fd_text.load_stored_fds(fd_text.stored_fds(fds))) == rows(fds)
+
+
+def test_strong_components_match_a_plain_closure(spark):
+    import random
+
+    rng = random.Random(3)
+    parts = []
+    for case in range(12):  # many small graphs side by side, sparse to dense
+        names = [f"g{case:02d}n{i}" for i in range(9)]
+        parts += [(a, b) for a in names for b in names if rng.random() < (0.06, 0.12, 0.2, 0.9)[case % 4]]
+    parts += [("r0", "r1"), ("r1", "r0"), ("s", "s")]
+    reach = {}
+    for a, b in parts:
+        reach.setdefault(a, set()).add(b)
+    for k in list(reach):
+        todo = list(reach[k])
+        while todo:
+            for x in reach.get(todo.pop(), ()):
+                if x not in reach[k]:
+                    reach[k].add(x)
+                    todo.append(x)
+    want = {frozenset({a} | {b for b in reach[a] if a in reach.get(b, ())}) for a in reach}
+    groups = {}
+    for node, component in graph.strong_components(spark.createDataFrame(parts, "left string, right string")).collect():
+        groups.setdefault(component, set()).add(node)
+    assert {frozenset(g) for g in groups.values()} == {g for g in want if len(g) > 1}
+
+
+def test_a_long_ring_is_one_component(spark):
+    n = 5000
+    ring = spark.range(n).select(F.col("id").cast("string").alias("left"), ((F.col("id") + 1) % n).cast("string").alias("right"))
+    got = graph.strong_components(ring)
+    assert got.count() == n and got.select("component").distinct().count() == 1
