@@ -28,8 +28,8 @@ def latest_per_key(
     """The newest row per key among rows with ``start <= order_col <= end``.
 
     An aggregate rather than ``row_number``: map tasks reduce a hot key to one row before the
-    shuffle, so no task ever sorts or holds all versions of a key. Equal newest rows are
-    decided by the other columns, which makes the result repeatable.
+    shuffle, so no task holds all versions of a key; the aggregates sort, since their buffer is a whole
+    row. Equal newest rows are decided by the other columns, which makes the result repeatable.
     """
     rows = df
     if start is not None:
