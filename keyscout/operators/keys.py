@@ -13,7 +13,7 @@ from keyscout import defaults
 from keyscout.functions.text import col
 from keyscout.operators.covers import extended
 from keyscout.operators.fd import TABLE, applicable, fd_degrees
-from keyscout.session import cut_lineage
+from keyscout.session import written
 from keyscout.sources.tables import TableKey, Tables
 
 
@@ -49,7 +49,7 @@ def fd_closure(fds: DataFrame, starts: DataFrame) -> DataFrame:
     Constant columns belong to every closure. Sets that stop growing leave the loop, which
     ends after at most as many rounds as there are columns.
     """
-    rules = cut_lineage(fds.select(*TABLE, "lhs", "rhs").distinct())
+    rules = written(fds.select(*TABLE, "lhs", "rhs").distinct())
     start = F.array_sort(F.array_distinct("start"))
     constants = _constants(rules)
     active = (
@@ -60,7 +60,7 @@ def fd_closure(fds: DataFrame, starts: DataFrame) -> DataFrame:
     )
     finished = []
     while True:
-        round_ = cut_lineage(_fire(active, rules))
+        round_ = written(_fire(active, rules))
         finished.append(round_.where(~F.col("grew")).drop("grew"))
         active = round_.where("grew").drop("grew")
         if active.isEmpty():
@@ -137,18 +137,18 @@ def candidate_keys(
         per_table = F.count(F.lit(1)).over(Window.partitionBy(*TABLE))
         usable = (F.col("_n") <= max_fds) | F.size("lhs").between(1, 3)
         rules = rules.withColumn("_n", per_table).where(usable).drop("_n")
-    rules = cut_lineage(rules)
+    rules = written(rules)
     roles = _column_roles(rules, columns).join(rules.select(*TABLE).distinct(), TABLE, "left_semi")
 
     def role_set(side: str) -> Column:
         return F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("col_code"))))
 
-    frames = cut_lineage(
+    frames = written(
         roles.groupBy(*TABLE).agg(
             role_set("L").alias("l"), role_set("N").alias("n"), role_set("LR").alias("lr"), F.collect_set("col_code").alias("every")
         )
     )
-    families = cut_lineage(frames.join(_left_out(rules, frames.select(*TABLE, "every")), TABLE, "left"))
+    families = written(frames.join(_left_out(rules, frames.select(*TABLE, "every")), TABLE, "left"))
     found = []
     pending = frames.select(*TABLE)
     for pool, base in (("l", F.col("n")), ("lr", F.array_union("l", "n"))):
@@ -157,20 +157,20 @@ def candidate_keys(
         partials = pending.select(*TABLE, _none().alias("chosen"), F.lit(None).cast("array<string>").alias("within"))
         for size in range(1, limit + 1):
             room = phase.where(size + F.size("base") <= limit)
-            sets = cut_lineage(extended(partials, room, TABLE))
+            sets = written(extended(partials, room, TABLE))
             if sets.isEmpty():
                 break
             partials = sets.select(*TABLE, "chosen", F.lit(None).cast("array<string>").alias("within"))
             tried = sets.where("covers").join(room, TABLE).select(*TABLE, "chosen", "every", F.array_sort(F.array_union("chosen", "base")).alias("start"))
-            tried = cut_lineage(tried)
+            tried = written(tried)
             if tried.isEmpty():
                 continue
             closed = fd_closure(rules, tried).join(tried, [*TABLE, "start"])
-            closed = cut_lineage(closed.select(*TABLE, "chosen", F.col("start").alias("key"), F.array_except("every", "closure").alias("within")))
+            closed = written(closed.select(*TABLE, "chosen", F.col("start").alias("key"), F.array_except("every", "closure").alias("within")))
             keys = closed.where(F.size("within") == 0).select(*TABLE, "key")
             found.append(keys)
             done = keys.select(*TABLE).distinct()
-            pending = cut_lineage(pending.join(done, TABLE, "left_anti"))
+            pending = written(pending.join(done, TABLE, "left_anti"))
             partials = (
                 partials.drop("within")
                 .join(pending, TABLE, "left_semi")
