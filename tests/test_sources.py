@@ -152,7 +152,7 @@ def test_replacing_keeps_the_old_version_until_the_new_one_counts(spark, tmp_pat
     store = ResultStore(spark, str(tmp_path))
     one = fd.fd_rows(spark, [(frozenset("a"), "b")], "s", "t")
     store.append("fds", one)
-    store._write("fds", one.unionAll(one), store._current("fds", 1), "overwrite")  # a replacement that fails before it is named
+    store._write("fds", one.unionAll(one), "unnamed")  # a replacement that fails before it is named
     assert store.read("fds").count() == 1
     store.replace("fds", store.read("fds").unionByName(one))
     assert store.read("fds").count() == 2
@@ -194,3 +194,57 @@ def test_a_consolidated_table_may_be_derived_from_itself(spark, rows, tmp_path):
     # A save that fails before its version is named leaves the table as it was.
     increment.write.parquet(f"{tmp_path}/tables/t/v3")
     assert store.read_consolidated("t").count() == 3
+
+
+def test_a_stage_is_saved_whole_and_once(spark, rows, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(str(i % 3), f"n{i}") for i in range(30)], "g string, n string")
+    tables = {("s", "t"): df}
+    prof = profile.profile_tables(tables)
+    codes = profile.code_values(tables, prof)
+    todo = spark.createDataFrame([("s", "t"), ("s", "few")], "sys_code string, table_code string")
+    store = ResultStore(spark, str(tmp_path))
+    write, failing = ResultStore._write, {"code_values"}
+
+    def lose(self, name, df, run):
+        if name in failing:
+            raise RuntimeError("lost")
+        write(self, name, df, run)
+
+    monkeypatch.setattr(ResultStore, "_write", lose)
+    with pytest.raises(RuntimeError):  # after the profile is written and before the code values are
+        store.save_profile(prof, codes, "2020-01-01 00:00:00", todo)
+    assert [store.read(n).count() for n in ("profile", "table_info", "code_values", "status")] == [0, 0, 0, 0]
+    failing.clear()
+    for _ in range(2):  # the retry, and a retry of the retry
+        store.save_profile(prof, codes, "2020-01-01 00:00:00", todo)
+        assert [store.read(n).count() for n in ("profile", "table_info", "code_values", "status")] == [2, 1, 3, 2]
+    assert rows(store.status(), "table_code", "code") == [("few", "2"), ("t", "1")]
+    store.save_profile(prof, codes, "2020-01-02 00:00:00", todo)  # another run, not a retry
+    assert store.read("profile").count() == 4
+
+
+def test_a_repeated_replacement_changes_nothing(spark, rows, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    todo = spark.createDataFrame([("s", "a"), ("s", "b")], "sys_code string, table_code string")
+    one, two = fd.fd_rows(spark, [(frozenset("a"), "b")], "s", "a"), fd.fd_rows(spark, [(frozenset("x"), "y")], "s", "c")
+    store.save_merged_fds(one, todo, "2020-01-01 00:00:00")
+    store.append("fds", two)
+    store.save_merged_fds(one.unionAll(one), todo, "2020-01-01 00:00:00")
+    assert rows(store.read("fds"), "table_code") == [("a",), ("c",)]
+    assert rows(store.status(), "table_code", "code") == [("a", "1"), ("b", "2")]
+
+
+def test_relations_and_dimensions_are_saved(spark, rows, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    todo = spark.createDataFrame([("s", t) for t in ("a/b", "c", "d")], "sys_code string, table_code string")
+    detail = spark.createDataFrame([("s|a%2Fb|x", "s|c|y", "1", "0", "fk")], same.DETAIL_SCHEMA)
+    prof = spark.createDataFrame([("s", "a/b", "x", 3), ("s", "c", "y", 2)], "sys_code string, table_code string, col_code string, distinct long")
+    for start in ("2020-01-01 00:00:00", "2020-01-02 00:00:00"):
+        store.save_same_fields(detail, same.field_clusters(detail, prof), todo, start)
+    assert store.read("same_detail").count() == 2 and rows(store.read("same_cluster"), "node") == [("s|a%2Fb|x",), ("s|c|y",)]
+    assert rows(store.status(), "table_code", "code") == [("a/b", "1"), ("c", "1"), ("d", "2")]
+    dims = spark.createDataFrame([("s", "c", "y", "s|c|y", "s|c|y", "fk", "0")], "sys_code string, table_code string, col_code string, dim_node string, origin_dim string, relation_type string, del_flag string")
+    for start in ("2020-01-01 00:00:00", "2020-01-02 00:00:00"):
+        store.save_dimensions(dims, todo, start)
+    assert store.read("dim_result").count() == 1
+    assert rows(store.status().where("stage = 'dim'"), "table_code", "code") == [("a/b", "2"), ("c", "1"), ("d", "2")]
