@@ -84,6 +84,25 @@ def date_window(spark, folder):
     return events.join(dates, "load_date", "left_semi").groupBy("load_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "dated_source_window",
+    f"WITH e AS (SELECT * FROM {fx.DATED_EVENTS_SQL}), last AS (SELECT max(strptime(load_date, '%Y%m%d')) AS day FROM e), "
+    "loaded AS (SELECT event_id, load_date, CASE WHEN strptime(load_date, '%Y%m%d') > day - INTERVAL 3 DAY THEN 2 * value ELSE value END AS value, "
+    "strptime(load_date, '%Y%m%d') AS loaded FROM e, last) "
+    "SELECT load_date, count(*) AS n, round(sum(value), 2) AS total FROM loaded, last WHERE loaded > day - INTERVAL 7 DAY GROUP BY load_date",
+)
+def dated_source_window(spark, folder):
+    """Events saved by load date, the last three dates loaded again with other values, then a window of seven dates."""
+    events = fx.dated_events(spark, folder)
+    last = events.agg(F.max("load_date")).first()[0]
+    dated = f"{shared_folder(spark)}/dated-{uuid.uuid4().hex}"
+    src.save_by_date(events, dated, "load_date")
+    again = src.scan_by_dates(src.read_by_date(spark, dated, "load_date"), src.date_window(last, -3), "load_date")
+    src.save_by_date(again.withColumn("value", 2 * F.col("value")), dated, "load_date")
+    window = src.load_mode(src.read_by_date(spark, dated, "load_date"), "I", src.date_window(last, -7), "load_date")
+    return window.groupBy("load_date").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
 @register("sample_rows")
 def sample_rows(spark, folder):
     return src.sample_rows(src.read_table(spark, folder, "lineitem"), 500, seed=7)

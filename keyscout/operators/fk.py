@@ -16,6 +16,7 @@ from keyscout import defaults
 from keyscout.functions.text import col, normalize, not_blank
 from keyscout.operators.histogram import FIELD
 from keyscout.operators.profile import effective_type
+from keyscout.operators.numbering import numbered
 from keyscout.session import settled
 from keyscout.sources.tables import TableKey, Tables
 
@@ -232,10 +233,9 @@ def named_fks(edges: DataFrame) -> DataFrame:
 def fk_diagram_nodes(fks: DataFrame) -> DataFrame:
     """Four diagram rows per foreign key within one system, numbered in the order of names.
 
-    The number is global and foreign keys are metadata, so the one ordered window is small.
+    Foreign keys without an order among them, which have equal columns, are numbered in any order.
     """
-    number = F.row_number().over(Window.orderBy(*EDGE))
-    numbered = fks.where(F.col("parent_sys") == F.col("child_sys")).withColumn("ref", number)
+    counted = numbered(fks.where(F.col("parent_sys") == F.col("child_sys")), EDGE, "ref")
     ref, text = F.concat(F.lit("Ref_o"), F.col("ref")), F.col("ref").cast("string")
 
     def row(code: Column, name: Column, kind: str, owner: str) -> Column:
@@ -248,7 +248,7 @@ def fk_diagram_nodes(fks: DataFrame) -> DataFrame:
         )
 
     # The node types and owners of the diagram format.
-    return numbered.select(
+    return counted.select(
         F.inline(
             F.array(
                 row(ref, F.col("fk_name"), "o:Reference", "Reference"),

@@ -13,6 +13,7 @@ from keyscout.functions.text import as_text, col, node_id, node_text, normalize,
 from keyscout.operators.fd import TABLE, fds_by_level, find_pair_fds
 from keyscout.operators.graph import components
 from keyscout.operators.keys import fd_closure
+from keyscout.operators.numbering import numbered
 from keyscout.operators.profile import informative_columns
 from keyscout.session import kept_if_small, settled
 from keyscout.sources.tables import TableKey, Tables, distinct_projection
@@ -209,10 +210,7 @@ def field_clusters(detail: DataFrame, profile: DataFrame) -> DataFrame:
     )
     sized = labels.join(sizes, "node", "left").withColumn("_distinct", F.coalesce("_distinct", F.lit(0)))
     rank = F.row_number().over(Window.partitionBy("component").orderBy(F.desc("_distinct"), "node"))
-    # Clusters are metadata; the global numbering covers one row per cluster.
-    numbers = labels.select("component").distinct().select(
-        "component", F.row_number().over(Window.orderBy("component")).alias("category_same")
-    )
+    numbers = numbered(labels.select("component").distinct(), ["component"], "category_same")
     return sized.withColumn("dim_order", rank).join(numbers, "component").select(
-        "category_same", "node", F.lit(1).alias("diff_flg"), "dim_order"
+        F.col("category_same").cast("int").alias("category_same"), "node", F.lit(1).alias("diff_flg"), "dim_order"
     )

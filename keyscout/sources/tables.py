@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from keyscout import defaults
 from keyscout.functions.text import as_text, col, normalize, not_blank
 from keyscout.operators.consolidate import latest_per_key
+from keyscout.session import written
 
 TableKey = tuple[str, str]
 Tables = Mapping[TableKey, DataFrame]
@@ -98,6 +99,23 @@ def load_mode(
     raise ValueError(f"unknown load mode {mode!r}")
 
 
+def save_by_date(df: DataFrame, folder: str, date_col: str = defaults.LOAD_DATE) -> None:
+    """Write rows to one folder per load date.
+
+    The dates that ``df`` has are replaced whole and other dates stay, so that a repeated load changes nothing.
+    ``df`` may be derived from the folder. Rows are gathered by date before, and a date with many rows is split.
+    """
+    gathered = df.hint("rebalance", col(date_col))
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(folder)
+
+
+def read_by_date(spark: SparkSession, folder: str, date_col: str = defaults.LOAD_DATE) -> DataFrame:
+    """What ``save_by_date`` wrote, with the load date as text; filters on it choose folders."""
+    inferred = spark.read.parquet(folder).schema
+    fields = [f if f.name != date_col else T.StructField(date_col, T.StringType()) for f in inferred.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(folder)
+
+
 # ---- projections ------------------------------------------------------------------------
 
 def column_values(df: DataFrame, column: str, distinct: bool = False) -> DataFrame:
@@ -125,14 +143,49 @@ def distinct_projection(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, limit: int | str = "all", seed: int | None = None) -> DataFrame:
-    """``limit`` random rows of the usable columns with NULL as blank, or all rows.
+    """``limit`` random rows of the usable columns with NULL as blank, or all rows."""
+    rows = blank_nulls(df)
+    return rows if limit == "all" else exact_sample(rows, int(limit), seed)
+
+
+#: Bits of a random key, bits by which a prefix of it grows, and rows of one prefix that are few enough to sort.
+KEY_BITS = 52
+PREFIX_BITS = 12
+PREFIX_ROWS = 10_000
 
-    Each task keeps only its own ``limit`` smallest random keys, so no global sort happens.
+
+def exact_sample(rows: DataFrame, n: int, seed: int | None = None) -> DataFrame:
+    """``n`` random rows, all rows if there are not more.
+
+    Every row gets a random key and the rows with the ``n`` smallest keys are the sample. A bound on the keys that
+    leaves a little more than ``n`` rows is known beforehand; only these are written. Histograms of key prefixes, of
+    at most 4096 counts each, then find the key up to which rows are taken, so that only the rows of one short
+    prefix are ever sorted.
     """
-    rows = blank_nulls(df)
-    if limit == "all":
+    if n <= 0:
+        return rows.limit(0)
+    total = rows.count()
+    if n >= total:
         return rows
-    return rows.orderBy(F.rand(seed)).limit(int(limit))
+    keyed = rows.withColumn("_key", F.floor(F.rand(seed) * F.lit(float(1 << KEY_BITS))).cast("long"))
+    share = min(1.0, (n + 8 * n**0.5 + 64) / total)
+    drawn = written(keyed.where(F.col("_key") < F.lit(int(share * (1 << KEY_BITS)))))
+    if drawn.count() < n:  # by chance, less than once in 10^12 samples
+        drawn = written(keyed)
+    taken, prefix, bits, size = 0, 0, 0, PREFIX_ROWS + 1
+    while size > PREFIX_ROWS and bits < KEY_BITS:
+        low = prefix << (KEY_BITS - bits)
+        here = drawn.where(F.col("_key").between(low, low + (1 << (KEY_BITS - bits)) - 1))
+        bits = min(bits + PREFIX_BITS, KEY_BITS)
+        counts = here.groupBy(F.shiftright("_key", KEY_BITS - bits).alias("prefix")).count()
+        for prefix, size in sorted((r["prefix"], r["count"]) for r in counts.collect()):
+            if taken + size >= n:
+                break
+            taken += size
+    shift = KEY_BITS - bits
+    below = drawn.where(F.col("_key") < F.lit(prefix << shift))
+    last = drawn.where(F.shiftright("_key", shift) == F.lit(prefix)).orderBy("_key").limit(n - taken)
+    return below.unionByName(last).drop("_key")
 
 
 def keyed_values(keys: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

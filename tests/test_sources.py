@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +250,48 @@ def test_relations_and_dimensions_are_saved(spark, rows, tmp_path):
         store.save_dimensions(dims, todo, start)
     assert store.read("dim_result").count() == 1
     assert rows(store.status().where("stage = 'dim'"), "table_code", "code") == [("a/b", "2"), ("c", "1"), ("d", "2")]
+
+
+def test_dated_folders_are_replaced_by_date_and_pruned(spark, rows, tmp_path):
+    folder = f"{tmp_path}/dated"
+    first = spark.createDataFrame([("a", "20200101"), ("b", "20200101"), ("c", "20200102"), ("d", "20200103")], "v string, day string")
+    src.save_by_date(first, folder, "day")
+    again = spark.createDataFrame([("e", "20200102")], "v string, day string")
+    for _ in range(2):  # a repeated load changes nothing
+        src.save_by_date(again, folder, "day")
+    dated = src.read_by_date(spark, folder, "day")
+    assert rows(dated, "v", "day") == [("a", "20200101"), ("b", "20200101"), ("d", "20200103"), ("e", "20200102")]
+    window = src.load_mode(dated, "I", ["20200101", "20200102"], "day")
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[day#\d+ IN \(20200101,20200102\)\]", plan)
+    assert "PushedFilters: []" in plan and len(window.select(F.input_file_name()).distinct().collect()) == 2
+    # The folder's own rows may be read for what replaces them.
+    src.save_by_date(src.scan_by_dates(dated, "20200101", "day").withColumn("v", F.upper("v")), folder, "day")
+    assert rows(src.read_by_date(spark, folder, "day"), "v") == [("A",), ("B",), ("d",), ("e",)]
+
+
+def test_samples_have_their_exact_size(spark, monkeypatch):
+    table = spark.range(30_000).select(F.col("id").cast("string").alias("v"))
+    monkeypatch.setattr(src, "PREFIX_ROWS", 3)  # several rounds of prefixes
+    for n in (0, 1, 500, 20_000, 29_999, 30_000, 40_000):
+        drawn = src.sample_rows(table, n, seed=3)
+        seen = drawn.agg(F.count("*").alias("n"), F.count_distinct("v").alias("d"), F.avg("v").alias("mean")).first()
+        assert seen["n"] == seen["d"] == min(n, 30_000)
+        if 500 <= n <= 20_000:
+            assert abs(seen["mean"] - 15_000) < 5 * 8_660 / n**0.5
+    copies = spark.range(5_000).select(F.lit("same").alias("v"))
+    assert src.sample_rows(copies, 1_234).count() == 1_234
+    assert src.sample_rows(table.limit(0), 5).count() == 0
+
+
+def test_numbers_follow_the_order(spark, rows):
+    from keyscout.operators.numbering import numbered
+
+    table = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("other"))
+    got = numbered(table, ["k"], "n")
+    assert got.columns == ["k", "other", "n"]
+    listed = sorted((r["n"], r["k"]) for r in got.collect())
+    assert [n for n, _ in listed] == list(range(1, 9_001)) and [k for _, k in listed] == sorted(k for _, k in listed)
+    few = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
+    assert sorted((r["n"], r["v"]) for r in numbered(few, ["v"], "n").collect()) == [(1, None), (2, "a"), (3, "b")]
+    assert numbered(few.limit(0), ["v"], "n").count() == 0
