@@ -1327,6 +1327,49 @@ def same_fields_fd(spark, folder):
     return detail.drop("fk_id")
 
 
+def _joint_relations_sql() -> str:
+    """Relations after joining conversations and replies on both key columns."""
+    parts = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, count(*) AS n, count(*) FILTER (x <> '' AND y <> '' AND x = y) AS eq, count(*) FILTER (x <> '' AND y <> '' AND x <> y) AS ne, "
+        "count(DISTINCT x) AS da, count(DISTINCT y) AS db, count(DISTINCT (x, y)) AS dab, "
+        "max(length(x)) FILTER (x <> '') AS hi_a, min(length(x)) FILTER (x <> '') AS lo_a, max(length(y)) FILTER (y <> '') AS hi_b, min(length(y)) FILTER (y <> '') AS lo_b "
+        f"FROM (SELECT coalesce({a}, '') AS x, coalesce(CAST(size AS VARCHAR), '') AS y FROM j) HAVING "
+        f"(SELECT count(DISTINCT {a}) > 1 AND max(length({a})) <> 1 FROM conversations)"
+        for a in ("role", "text")
+    )
+    return sql.query(
+        [
+            ("r", f"SELECT DISTINCT thread, pos, size FROM {fx.THREAD_SQL[('desk', 'replies')][0]}"),
+            ("j", "SELECT c.role, c.text, r.size FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) c JOIN r ON conv_id = thread AND turn = pos"),
+            ("counted", f"SELECT * FROM ({parts}) WHERE (SELECT count(DISTINCT size) > 1 AND max(length(CAST(size AS VARCHAR))) <> 1 FROM r)"),
+            ("verdicts", "SELECT *, hi_b <= hi_a AND lo_b >= lo_a AND eq > 1 AND ne = 0 AS alike FROM counted"),
+        ],
+        "SELECT 'core|conversations|conv_id' AS left_node, 'desk|replies|thread' AS right_node, 'pair' AS fk_id, '1' AS fk_type, 'fk' AS rel_type "
+        "UNION ALL SELECT 'core|conversations|turn', 'desk|replies|pos', 'pair', '1', 'fk' "
+        "UNION ALL SELECT 'core|conversations|' || a, 'desk|replies|size', 'pair', '1', CASE WHEN eq = n THEN 'equals' ELSE 'same' END FROM verdicts WHERE alike "
+        "UNION ALL SELECT CASE WHEN dab = da THEN 'core|conversations|' || a ELSE 'desk|replies|size' END, "
+        "CASE WHEN dab = da THEN 'desk|replies|size' ELSE 'core|conversations|' || a END, 'pair', '1', CASE WHEN dab = da AND dab = db THEN 'bfd' ELSE 'fd' END "
+        "FROM verdicts WHERE NOT coalesce(alike, FALSE) AND n > 3 AND (dab = da OR dab = db)",
+    )
+
+
+@register("same_fields_joint", _joint_relations_sql())
+def same_fields_joint(spark, folder):
+    """A joint foreign key, beside one already analysed and one out of scope. Replies have the turns of assistants only."""
+    tables = fx.thread_frames(spark, folder)
+    prof = cut_lineage(profile.profile_tables(tables))
+    pair = [("conv_id", "thread"), ("turn", "pos")]
+    joint = spark.createDataFrame(
+        [(i, fx.SYSTEM, "conversations", s, t, pair, 1.0, 0) for i, s, t in (("pair", "desk", "replies"), ("known", "desk", "replies"), ("outside", "far", "replies"))],
+        "group_id string, parent_sys string, parent_table string, child_sys string, child_table string, "
+        "pairs array<struct<parent_col: string, child_col: string>>, ratio double, parent_size long",
+    )
+    none = spark.createDataFrame([], "id string, parent_sys string, parent_table string, parent_col string, child_sys string, child_table string, child_col string")
+    scope = spark.createDataFrame(list(tables), "sys_code string, table_code string")
+    fds = discovery.fds_of_tables(spark, tables, 2)
+    return same.same_fields(tables, none, fds, prof, joint, scope, known_ids=["known"])
+
+
 _LEFT = "parent_sys || '|' || parent_table || '|' || parent_col"
 _RIGHT = "child_sys || '|' || child_table || '|' || child_col"
 

@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keyscout.functions.text import as_text, col, node_id, node_text, normalize, not_blank
+from keyscout.functions.text import as_text, node_id, node_text, normalize
 from keyscout.operators.fd import TABLE, fds_by_level, find_pair_fds
 from keyscout.operators.graph import components
 from keyscout.operators.keys import fd_closure
 from keyscout.operators.numbering import numbered
 from keyscout.operators.profile import informative_columns
-from keyscout.session import kept_if_small, settled
+from keyscout.session import kept_table, settled
 from keyscout.sources.tables import TableKey, Tables, distinct_projection
 
 DETAIL_SCHEMA = "left_node string, right_node string, fk_id string, fk_type string, rel_type string"
-PAIRS_PER_PASS = 100
 LARGE_ROWS = 1_000_000
+#: Longer texts are compared by digests.
+LONG_TEXT = 64
 
 
 @dataclass(frozen=True)
@@ -80,40 +84,43 @@ def references(
     ]
 
 
-def _compare(joined: DataFrame, lefts: list[str], rights: list[str]) -> tuple[int, dict]:
-    """Rows of the join and, per column pair, ``same`` or ``equals`` if either holds.
+def _cells(names: Sequence[str]) -> Column:
+    """The numbered values of some columns: right-trimmed, long texts as digests, with their lengths."""
 
-    Lengths and all pair comparisons are one wide aggregate per chunk: the join is read
-    once per hundred pairs and only sums leave the tasks.
+    def cell(i: int, c: str) -> Column:
+        text = normalize(c)
+        short = F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+        return F.struct(F.lit(i).alias("no"), short.alias("text"), F.length(text).alias("size"))
+
+    return F.array(*[cell(i, c) for i, c in enumerate(names)])
+
+
+def counter_matrix(joined: DataFrame, lefts: Sequence[str], rights: Sequence[str]) -> DataFrame:
+    """Per pair of a left and a right column: rows, and ``rel_type`` if the columns carry the same data.
+
+    ``same`` needs two equal filled rows, no different ones, and lengths on the right within those on the left;
+    ``equals`` needs equal values in all rows as well. Each row gives its pairs to one aggregate of counters, which
+    are few and of fixed size, so the join is read once for any number of columns and nothing is sorted.
     """
-    pairs = [(a, b) for a in lefts for b in rights]
-    verdict = {}
-    n_rows = 0
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        used = sorted({c for pair in chunk for c in pair})
-        sizes = {c: F.when(not_blank(c), F.length(F.rtrim(col(c)))) for c in used}
-        outputs = [F.count(F.lit(1)).alias("n")]
-        for c in used:
-            outputs += [F.min(sizes[c]).alias(f"lo_{c}"), F.max(sizes[c]).alias(f"hi_{c}")]
-        for i, (a, b) in enumerate(chunk):
-            filled = not_blank(a) & not_blank(b)
-            equal = normalize(a) == normalize(b)
-            outputs += [
-                F.count_if(filled & equal).alias(f"same{i}"),
-                F.count_if(filled & ~equal).alias(f"other{i}"),
-                F.count_if(equal).alias(f"equal{i}"),
-            ]
-        r = joined.agg(*outputs).collect()[0]
-        n_rows = r["n"]
-        for i, (a, b) in enumerate(chunk):
-            bounds = (r[f"lo_{a}"], r[f"hi_{a}"], r[f"lo_{b}"], r[f"hi_{b}"])
-            if None in bounds or bounds[3] > bounds[1] or bounds[2] < bounds[0]:
-                continue
-            if r[f"same{i}"] > 1 and r[f"other{i}"] == 0:
-                everywhere = r[f"equal{i}"] == n_rows and n_rows > 1
-                verdict[(a, b)] = "equals" if everywhere else "same"
-    return n_rows, verdict
+    halves = joined.select(F.explode(_cells(lefts)).alias("a"), _cells(rights).alias("rights"))
+    pairs = halves.select("a", F.explode("rights").alias("b"))
+    a, b = F.col("a"), F.col("b")
+    full_a, full_b = a["size"] > 0, b["size"] > 0
+    equal = (a["size"] == b["size"]) & (a["text"] == b["text"])
+    counted = pairs.groupBy(a["no"].alias("left_no"), b["no"].alias("right_no")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(full_a & full_b & equal).alias("same"),
+        F.count_if(full_a & full_b & ~equal).alias("other"),
+        F.count_if(equal).alias("equal"),
+        F.min(F.when(full_a, a["size"])).alias("least_a"), F.max(F.when(full_a, a["size"])).alias("most_a"),
+        F.min(F.when(full_b, b["size"])).alias("least_b"), F.max(F.when(full_b, b["size"])).alias("most_b"),
+    )
+    within = (F.col("most_b") <= F.col("most_a")) & (F.col("least_b") >= F.col("least_a"))
+    everywhere = (F.col("equal") == F.col("rows")) & (F.col("rows") > 1)
+    kind = F.when(
+        within & (F.col("same") > 1) & (F.col("other") == 0), F.when(everywhere, "equals").otherwise("same")
+    )
+    return counted.select("left_no", "right_no", "rows", kind.alias("rel_type"))
 
 
 def same_fields(
@@ -132,7 +139,8 @@ def same_fields(
     child's key columns determine more informative columns, both sides are projected, joined
     on the key, and each pair of other columns is compared: ``same`` if equal wherever both
     are filled, ``equals`` if equal in all rows, else ``fd`` or ``bfd`` if one determines the
-    other. Every foreign key is analysed on its own.
+    other. Every foreign key is analysed on its own; those of the same two tables share one matrix of
+    counters. A join is written once, read for the matrix and the FDs, and deleted.
     """
     spark = profile.sparkSession
     profile, fds = settled(profile), settled(fds)
@@ -162,33 +170,44 @@ def same_fields(
     def informative(table: TableKey, c: str) -> bool:
         return (*table, c) in telling or c not in fields.get(table, ())
 
-    for ref in linked:
-        pkeys = [p for p, _ in ref.pairs]
-        ckeys = [c for _, c in ref.pairs]
-        reach = closures[(*ref.child, tuple(sorted(ckeys)))]
-        rights = [c for c in sorted(reach) if c not in ckeys and informative(ref.child, c)]
-        lefts = [c for c in fields.get(ref.parent, []) if c not in pkeys and informative(ref.parent, c)]
-        if not rights:
-            continue
-        lname = {c: f"l{i}" for i, c in enumerate([*pkeys, *lefts])}
-        rname = {c: f"r{i}" for i, c in enumerate([*ckeys, *rights])}
-        joined = trimmed_key_join(
-            distinct_projection(tables[ref.parent], lname),
-            distinct_projection(tables[ref.child], rname),
-            [(lname[p], rname[c]) for p, c in ref.pairs],
+    def sides(ref: Reference) -> tuple[list[str], list[str]]:
+        """The columns of parent and child to compare."""
+        pkeys, ckeys = [p for p, _ in ref.pairs], sorted(c for _, c in ref.pairs)
+        reach = closures[(*ref.child, tuple(ckeys))]
+        return (
+            [c for c in fields.get(ref.parent, []) if c not in pkeys and informative(ref.parent, c)],
+            [c for c in sorted(reach) if c not in ckeys and informative(ref.child, c)],
         )
-        lnames, rnames = [lname[c] for c in lefts], [rname[c] for c in rights]
-        origin = {v: _node(ref.parent, c) for c, v in lname.items()}
-        origin |= {v: _node(ref.child, c) for c, v in rname.items()}
-        with kept_if_small(joined) as kept:
-            n_rows, relations = _compare(kept, lnames, rnames)
-            found = [(a, b, kind) for (a, b), kind in relations.items()]
-            if with_fd and n_rows > 3:
-                others = [(a, b) for a in lnames for b in rnames if (a, b) not in relations]
-                texts = kept.select([as_text(c).alias(c) for c in [*lnames, *rnames]])
-                if others:
+
+    compared = [(ref, *sides(ref)) for ref in sorted(linked, key=lambda r: (r.parent, r.child, r.fk_id))]
+    compared = [c for c in compared if c[1] and c[2]]
+    for _, group in groupby(compared, key=lambda c: (c[0].parent, c[0].child)):
+        with ExitStack() as stack:
+            joins = []
+            for ref, lefts, rights in group:
+                lname = {c: f"l{i}" for i, c in enumerate([*lefts, *(p for p, _ in ref.pairs)])}
+                rname = {c: f"r{i}" for i, c in enumerate([*rights, *dict.fromkeys(c for _, c in ref.pairs)])}
+                joined = trimmed_key_join(
+                    distinct_projection(tables[ref.parent], lname),
+                    distinct_projection(tables[ref.child], rname),
+                    [(lname[p], rname[c]) for p, c in ref.pairs],
+                )
+                lnames, rnames = [lname[c] for c in lefts], [rname[c] for c in rights]
+                kept = stack.enter_context(kept_table(joined.select(*lnames, *rnames)))
+                joins.append((ref, lefts, rights, kept, lnames, rnames))
+            matrices = [counter_matrix(j[3], j[4], j[5]).withColumn("fk", F.lit(i)) for i, j in enumerate(joins)]
+            matrix = reduce(DataFrame.unionByName, matrices).collect()
+            for i, (ref, lefts, rights, kept, lnames, rnames) in enumerate(joins):
+                cells = [r for r in matrix if r["fk"] == i]
+                found = [(lnames[r["left_no"]], rnames[r["right_no"]], r["rel_type"]) for r in cells if r["rel_type"]]
+                others = [(lnames[r["left_no"]], rnames[r["right_no"]]) for r in cells if not r["rel_type"]]
+                n_rows = max((r["rows"] for r in cells), default=0)
+                if with_fd and n_rows > 3 and others:
+                    texts = kept.select([as_text(c).alias(c) for c in [*lnames, *rnames]])
                     found += find_pair_fds(texts, others, large=n_rows > LARGE_ROWS)
-        rows += [(origin[a], origin[b], ref.fk_id, ref.fk_type, kind) for a, b, kind in found]
+                origin = {n: _node(ref.parent, c) for n, c in zip(lnames, lefts)}
+                origin |= {n: _node(ref.child, c) for n, c in zip(rnames, rights)}
+                rows += [(origin[x], origin[y], ref.fk_id, ref.fk_type, kind) for x, y, kind in found]
     return spark.createDataFrame(rows, DETAIL_SCHEMA)
 
 

@@ -66,6 +66,21 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept_table(df: DataFrame):
+    """``df`` as a table in the shared folder for the block, so that its plan runs once; the table goes with the block."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage, for a small result that several steps read.
 

@@ -1,4 +1,6 @@
 import re
+from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,7 +126,7 @@ def test_worklist(spark, rows):
     assert rows(worklist.fk_systems(conf, "x,s")) == [("s",)] and worklist.fk_systems(conf, "x").count() == 0
 
 
-def test_same_fields(spark, rows):
+def test_same_fields(spark, rows, monkeypatch):
     n = 60
     people = spark.createDataFrame([(f"p{i:03d}", f"name{i:03d}", f"c{i % 7}x", "k") for i in range(n)], "id string, name string, city string, one string")
     visits = spark.createDataFrame(
@@ -145,6 +147,22 @@ def test_same_fields(spark, rows):
         ("people|name", "visits|town", "fd"), ("visits|label", "people|city", "fd"),
     ]
     fk_id = fks.collect()[0]["id"]
+    twice = fks.unionByName(fks.withColumn("id", F.lit("again")))
+    kept, keep = [], same.kept_table
+
+    @contextmanager
+    def watched(df):
+        with keep(df) as table:
+            kept.append(table.inputFiles())
+            assert kept[-1]
+            assert "Join" not in table._jdf.queryExecution().optimizedPlan().toString()
+            yield table
+
+    monkeypatch.setattr(same, "kept_table", watched)
+    both = same.same_fields(tables, twice, fds, prof)
+    assert len(kept) == 2  # each join is written once, and gone afterwards
+    assert all(not Path(f.removeprefix("file:")).exists() for files in kept for f in files)
+    assert sorted((r["left_node"], r["right_node"], r["rel_type"]) for r in both.where("fk_id = 'again'").collect()) == sorted((r["left_node"], r["right_node"], r["rel_type"]) for r in got.collect())
     assert same.same_fields(tables, fks, fds, prof, known_ids=[fk_id]).count() == 0
     only_fk = same.same_fields(tables, fks, fds.where("table_code = 'people'"), prof)
     assert rows(only_fk, "rel_type") == [("fk",)]
