@@ -1,7 +1,9 @@
 """A deterministic sharded WARC writer and a reader of what it committed.
 
-Records are range-sorted by page id. The bounds of shards come from the bytes per cell of a fixed grid over the ids, not
-from a sample, so the same input always gives the same files. A task writes the records of a shard in order and begins
+Records are range-sorted by page id, then by payload digest. Ranges begin at those of the (id, digest) keys whose hash
+lies under a bound, about 65,536 of them, whatever the ids are: a stray id makes no range wider, and the rows of one id or
+without an id are split by digest. Bytes are summed per range over all rows, and shards are runs of ranges, so the same
+input always gives the same files. Only rows equal in id and digest always share a shard. A task writes the records of a shard in order and begins
 a new file when the compressed bytes reach the limit. Headers, record ids and digests are made anew from the payload.
 Each file is written under a temporary name and moved into place; the manifest, written last, names the files with
 their record counts and SHA-256, and only files that it names count as written.
@@ -18,16 +20,20 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyscout.llm.files import opened, write_whole
 
 LEAST_REVISIT = 100
-CELLS = 65_536
+#: Ranges that bytes are counted for.
+RANGES = 65_536
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 16 << 20
 DATE = "1970-01-01T00:00:00Z"
@@ -42,13 +48,48 @@ def _sha(data: bytes) -> str:
     return "sha256:" + base64.b32encode(hashlib.sha256(data).digest()).decode()
 
 
+def _key(page_id: Column, digest: Column) -> Column:
+    """Text of 37 characters in the order of ids, null last, then of digests."""
+    number = F.lpad((page_id.cast("decimal(20,0)") + F.lit(Decimal(1 << 63))).cast("string"), 20, "0")
+    return F.concat(F.coalesce(F.concat(F.lit("0"), number), F.lit("1" + "0" * 20)), F.substring(digest, 1, 16))
+
+
+def _range_of(edges: list[str]) -> Callable[[Column], Column]:
+    """How many of the sorted ``edges`` are not above a key."""
+    sorted_edges = np.array(edges, "S37")
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(sorted_edges, keys.to_numpy().astype("S37"), side="right").astype(np.int32))
+
+    return place
+
+
+def _shard_edges(digests: DataFrame, shard_bytes: int) -> list[str]:
+    """The least keys of all shards but the first; at most one edge for every range."""
+    keys = digests.select(_key(F.col("page_id"), F.col("digest")).alias("key"), "bytes")
+    n = keys.count()
+    picked = keys.select("key")
+    if n > RANGES:
+        picked = picked.where(F.shiftrightunsigned(F.xxhash64("key"), 1) < F.lit(int(RANGES / n * (1 << 63))))
+    edges = sorted(r["key"] for r in picked.distinct().collect())
+    sizes = keys.groupBy(_range_of(edges)(F.col("key")).alias("range")).agg(F.sum(F.col("bytes") + 512).alias("bytes"))
+    starts, held = [], 0
+    for at, size in sorted(tuple(r) for r in sizes.collect()):
+        if held and held + size > shard_bytes:
+            starts.append(edges[at - 1])
+            held = 0
+        held += size
+    return starts
+
+
 def _page_record(page: int | None, url: str | None, payload: bytes, refers: tuple[int | None] | None, nth: int) -> bytes:
     """One gzip member; ``refers`` holds the response's page id for a revisit."""
     name = "" if page is None else str(page)
     digest = _sha(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\nX-Page-Id: {name}\r\n\r\n".encode()
     block = http if refers else http + payload
-    target = "".join(c for c in (url or "") if c > " ") or "urn:page:" + name
+    target = "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in (url or "")) or "urn:page:" + name
     headers = [("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{target} {name} {digest} {nth}')}>"), ("WARC-Date", DATE), ("WARC-Target-URI", target)]
     if refers:
         headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page", "" if refers[0] is None else str(refers[0]))]
@@ -61,23 +102,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Writes ``pages`` under ``folder`` and returns the manifest (file, records, bytes, sha256), which is in the folder, too."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     digests = rows.select("page_id", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("bytes"))
-    ends = digests.agg(F.min("page_id"), F.max("page_id")).first()
-    low, width = ends[0] or 0, -(-((ends[1] or 0) - (ends[0] or 0) + 1) // CELLS)
-    cell = F.coalesce(F.floor((F.col("page_id") - low) / F.lit(width)), F.lit(CELLS)).cast("int")
-    weights = sorted((r["cell"], r["bytes"]) for r in rows.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("payload") + 512).alias("bytes")).collect())
-    shards, shard, held = [], 0, 0
-    for at, size in weights:
-        if held and held + size > shard_bytes:
-            shard, held = shard + 1, 0
-        shards.append((at, shard))
-        held += size
+    edges = _shard_edges(digests, shard_bytes)
     spark = pages.sparkSession
-    of_cell = F.broadcast(spark.createDataFrame(shards, "cell int, shard int"))  # one row per cell of the grid at most
     first = digests.where(F.col("bytes") >= least_revisit).groupBy("digest").agg(F.min("page_id").alias("response"), F.count("*").alias("copies")).where("copies > 1")
     revisits = digests.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("response"))).select("page_id", "digest", "response", F.lit(True).alias("revisit")).distinct()
     records = rows.select("page_id", F.sha2("payload", 256).alias("digest"), "url", "payload", F.lit(None).cast("long").alias("response"), F.lit(False).alias("revisit"))
-    mixed = records.unionByName(revisits, allowMissingColumns=True).withColumn("cell", cell).join(of_cell, "cell").drop("cell")
-    dealt = mixed.repartition(max(1, shard + 1), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "digest", F.desc("revisit"), "url")
+    mixed = records.unionByName(revisits, allowMissingColumns=True)
+    placed = mixed.withColumn("shard", _range_of(edges)(_key(F.col("page_id"), F.col("digest"))))
+    dealt = placed.repartitionById(len(edges) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "digest", F.desc("revisit"), "url")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, part, body, count, last, told, nth = None, 0, [], 0, None, None, 0
@@ -149,7 +181,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     Digests of blocks and of whole payloads are checked against the headers; a mismatch is an error.
     """
     manifest = spark.read.schema("file string, records long, bytes long, sha256 string").json(f"{folder}/manifest")
-    files = manifest.select("file").repartition(max(1, manifest.count()), "file")
+    shard = F.regexp_extract("file", r"^pages-(\d+)-", 1).cast("int")
+    shards = manifest.agg(F.max(shard)).first()[0] or 0
+    files = manifest.select("file", shard.alias("shard")).repartitionById(shards + 1, F.col("shard")).select("file")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

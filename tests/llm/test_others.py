@@ -109,6 +109,33 @@ def test_archive_records_are_whole(spark, tmp_path):
     assert two.startswith(b"WARC/1.1\r\nWARC-Type: revisit\r\n") and b"identical-payload-digest" in two and b"x" * 200 not in two
 
 
+@pytest.mark.parametrize("id_of", [lambda i: i, lambda i: None, lambda i: 5, lambda i: -i if i % 3 else None])
+def test_shards_stay_even_whatever_the_ids(spark, tmp_path, id_of):
+    rows = [(id_of(i), f"http://a/{i}", f"{i:05d}" * 100) for i in range(3000)] + [(10**12, "http://stray/", "x" * 500)]
+    shards = {}
+    for r in warc.write_archives(pages(spark, rows), str(tmp_path / "w"), shard_bytes=80_000).collect():
+        shard = r["file"].split("-")[1]
+        shards[shard] = shards.get(shard, 0) + r["records"]
+    most = 80_000 // 1012  # records of 500 bytes and 512 for the headers
+    assert len(shards) == -(-3001 // most) and max(shards.values()) == most and sum(shards.values()) == 3001
+    read = warc.read_archives(spark, str(tmp_path / "w"))
+    assert sorted(((r["page_id"] is None, r["page_id"] or 0), r["payload_digest"]) for r in read.collect()) == sorted(((i is None, i or 0), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows)
+
+
+def test_ranges_from_few_keys_split_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGES", 64)
+    digests = spark.range(4000).select(F.col("id").alias("page_id"), F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.lit(488).alias("bytes"))
+    edges = warc._shard_edges(digests, 500_000)
+    assert 5 <= len(edges) <= 16 and edges == sorted(edges) == warc._shard_edges(digests.repartition(7), 500_000)
+    hot = digests.withColumn("digest", F.lit("0" * 64)).withColumn("page_id", F.lit(1).cast("long"))
+    assert len(warc._shard_edges(hot, 500_000)) <= 1
+
+
+def test_blanks_in_addresses_are_encoded(spark, tmp_path):
+    warc.write_archives(pages(spark, [(1, "http://a/b c\td", "h")]), str(tmp_path / "w"))
+    assert warc.read_archives(spark, str(tmp_path / "w")).first()["url"] == "http://a/b%20c%09d"
+
+
 def test_archives_of_nothing(spark, tmp_path):
     assert warc.write_archives(pages(spark, []), str(tmp_path / "w")).count() == 0
     assert warc.read_archives(spark, str(tmp_path / "w")).count() == 0
