@@ -1400,6 +1400,30 @@ def same_cluster(spark, folder):
     return same.field_clusters(detail, prof)
 
 
+@register(
+    "discover_schema",
+    sql.query(
+        sql.fk_ctes(fx.LINKED_SQL, sql.TEXT_KEY_RULE, 2.0),
+        "SELECT parent_sys, parent_table, parent_col, child_sys, child_table, child_col, round(ratio, 9) AS ratio FROM fks",
+    ),
+)
+def discover_schema(spark, folder):
+    """Foreign keys of a whole analysis, in which customers come as a feed of two loads.
+
+    The first load has other names for all customers. Of orders, invoice documents have those of status F only, and
+    the archive the urgent ones of these.
+    """
+    tables = fx.linked_frames(spark, folder)
+    name = (fx.SYSTEM, "customer")
+    newest = tables[name].withColumn("day", F.lit("20240102"))
+    tables[name] = newest.withColumn("day", F.lit("20240101")).withColumn("c_name", F.concat(F.lit("old "), "c_name")).unionByName(newest)
+    loads = {name: discovery.Load("IU", ["20240101", "20240102"], "day", ["c_custkey"])}
+    found = discovery.discover_schema(spark, tables, loads=loads)["fks"]
+    return found.select(
+        "parent_sys", "parent_table", "parent_col", "child_sys", "child_table", "child_col", F.round("ratio", 9).alias("ratio")
+    )
+
+
 # ---- graph and dimensions ---------------------------------------------------------------
 
 _GRAPH = sql.graph_ctes(fx.LINKED_SQL)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from keyscout.operators.keys import (
 )
 from keyscout.operators.profile import profile_tables
 from keyscout.operators.same import field_clusters, same_fields
-from keyscout.session import cut_lineage, settled
-from keyscout.sources.tables import Tables, usable_columns
+from keyscout.session import cut_lineage, settled, written
+from keyscout.sources.tables import TableKey, Tables, load_mode, usable_columns
 
 
 CONCURRENT_TABLES = 4
@@ -71,6 +72,29 @@ def discover_pk(
     return choose_keys(single, joint)
 
 
+@dataclass(frozen=True)
+class Load:
+    """Which rows of a table with load dates are analysed: ``mode`` and its parameters as in ``load_mode``."""
+
+    mode: str
+    dates: Sequence[str]
+    date_col: str = defaults.LOAD_DATE
+    key: Sequence[str] = ()
+
+
+def loaded(tables: Tables, loads: Mapping[TableKey, Load]) -> Tables:
+    """``tables`` with the rows that ``loads`` names, without their load dates; other tables as they are.
+
+    The newest rows per key are written once, since every stage reads its tables several times.
+    """
+
+    def load(df: DataFrame, how: Load) -> DataFrame:
+        rows = load_mode(df, how.mode, how.dates, how.date_col, how.key).drop(how.date_col)
+        return written(rows) if how.mode == "IU" else rows
+
+    return {key: load(df, loads[key]) if key in loads else df for key, df in tables.items()}
+
+
 def discover_schema(
     spark: SparkSession,
     tables: Tables,
@@ -78,19 +102,37 @@ def discover_schema(
     systems: Sequence[str] | None = None,
     skip_autoincrement: bool = True,
     min_avg_len: float = defaults.FK_MIN_AVG_LEN,
+    loads: Mapping[TableKey, Load] | None = None,
+    one_step: bool = False,
+    key_threshold: int | None = None,
+    key_tolerance: int = 5,
+    max_fds: int | None = None,
+    fk_threshold: float = defaults.FK_RATIO,
+    small: int = 0,
+    small_threshold: float = 1.0,
+    max_misses: int | None = None,
+    with_fd: bool = True,
 ) -> dict[str, DataFrame]:
-    """All stages in order; every result is cut from its lineage before the next stage."""
+    """All stages in order; every result is cut from its lineage before the next stage.
+
+    ``loads`` chooses rows by load date. The other options are those of ``discover_pk`` (``threshold`` and ``tolerance``
+    with ``key_`` before them), ``discover_fk``, ``discover_joint_fk`` and ``same_fields``.
+    """
+    tables = loaded(tables, loads or {})
     profile = cut_lineage(profile_tables(tables))
     fds = settled(fds_of_tables(spark, tables, max_lhs))
-    keys = cut_lineage(discover_pk(spark, tables, profile, fds))
+    keys = cut_lineage(
+        discover_pk(spark, tables, profile, fds, max_lhs, one_step, key_threshold, key_tolerance, max_fds)
+    )
     single = keys.where(F.col("kind") == "single").select(
         "sys_code", "table_code", F.element_at("cols", 1).alias("col_code")
     )
-    fks = cut_lineage(discover_fk(tables, single, profile, systems, skip_autoincrement, min_avg_len))
+    ratios = (fk_threshold, small, small_threshold)
+    fks = cut_lineage(discover_fk(tables, single, profile, systems, skip_autoincrement, min_avg_len, *ratios))
     joint_fks = cut_lineage(
-        discover_joint_fk(tables, joint_key_rows(keys), profile, systems, min_avg_len)
+        discover_joint_fk(tables, joint_key_rows(keys), profile, systems, min_avg_len, *ratios, max_misses)
     )
-    detail = same_fields(tables, fks, fds, profile, joint_fks, fk_tables(fks, joint_fks))
+    detail = same_fields(tables, fks, fds, profile, joint_fks, fk_tables(fks, joint_fks), with_fd=with_fd)
     return {
         "profile": profile,
         "fds": fds,

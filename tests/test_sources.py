@@ -313,3 +313,14 @@ def test_numbers_follow_the_order(spark, rows):
     few = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
     assert sorted((r["n"], r["v"]) for r in numbered(few, ["v"], "n").collect()) == [(1, None), (2, "a"), (3, "b")]
     assert numbered(few.limit(0), ["v"], "n").count() == 0
+
+
+def test_loads_choose_rows(spark, rows, feed):
+    from keyscout.plans.discovery import Load, loaded
+
+    dates = src.date_window("20200101", 3)
+    tables = {("s", m): feed for m in ("F5", "I", "IU", "all")}
+    got = loaded(tables, {("s", m): Load(m, dates, key=["k"]) for m in ("F5", "I", "IU")})
+    assert rows(got[("s", "F5")], "k") == [("a",), ("c",), ("c",)] and got[("s", "I")].count() == 5
+    assert rows(got[("s", "IU")], "k", "v") == [("a", "new"), ("b", "only"), ("c", "z")]
+    assert [t.columns for t in got.values()] == [["k", "v"]] * 3 + [feed.columns]
