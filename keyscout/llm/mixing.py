@@ -58,7 +58,9 @@ def _digest_part(text: Column) -> Column:
 def sampled_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, seed: str = "mix", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """(row, id, source, size, source_size, target, copies); ``row`` is a struct of all columns of ``docs``."""
     size = word_count(F.col("text")) if size is None else size
-    held = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
+    source = F.col(source_col)
+    # A struct is not null where its field is, so a null source is a key like any other.
+    held = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), source.alias("source"), F.struct(source.alias("source")).alias("key"), size.alias("size"))
     rows = held.select("id", "source", "size")
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     blocks = max(1, -(-(per_source.agg(F.sum("source_rows")).first()[0] or 0) // rows_per_block))
@@ -70,11 +72,11 @@ def sampled_copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "s
     counted = rows.select("source", *keys).groupBy("source", "size_class", "part").count()
     before = F.sum("count").over(Window.partitionBy("source").orderBy("size_class", "part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counted.select("source", "size_class", "part", F.coalesce(before, F.lit(0)).alias("start"))
-    starts = starts.join(targets, starts["source"].eqNullSafe(targets["source"])).select(starts["source"], "size_class", "part", "start", "source_size", "target", "step", "offset")
-    inside = Window.partitionBy("source", "size_class", "part").orderBy("size", "id")
-    ranked = held.select("*", *keys).withColumn("rank", F.row_number().over(inside))
-    same = ranked["source"].eqNullSafe(starts["source"]) & (ranked["size_class"] == starts["size_class"]) & (ranked["part"] == starts["part"])
-    joined = ranked.join(starts, same).select("row", "id", ranked["source"], "size", "source_size", "target", "step", "offset", (F.col("start") + F.col("rank")).alias("rank"))
+    starts = starts.join(targets, starts["source"].eqNullSafe(targets["source"])).select(F.struct(starts["source"]).alias("key"), "size_class", "part", "start", "source_size", "target", "step", "offset")
+    # Ranks and starts meet on the columns that rows are dealt by for their ranks, so whole rows are dealt only once.
+    block = ["key", "size_class", "part"]
+    ranked = held.select("*", *keys).withColumn("rank", F.row_number().over(Window.partitionBy(*block).orderBy("size", "id")))
+    joined = ranked.join(starts, block).withColumn("rank", F.col("start") + F.col("rank"))
     crossed = F.floor(F.col("offset") + F.col("step") * F.col("rank")) - F.floor(F.col("offset") + F.col("step") * (F.col("rank") - 1))
     return joined.select("row", "id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"))
 

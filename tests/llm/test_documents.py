@@ -94,6 +94,22 @@ def test_mixing_matches_sql_and_meets_targets(spark, rows):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in mixing.sampled_copies(docs).collect())
 
 
+def test_mixing_deals_whole_rows_once(spark, rows, capsys):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        mixed = mixing.mixed(frame(spark, [*rows, (None, "some words", None), (4, "more words here", None)]))
+        mixed.explain("formatted")
+        sources = Counter(r["source"] for r in mixed.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*\btext#|\) Exchange\nInput \[\d+\]: \[[^\]]*\brow#", capsys.readouterr().out)
+    assert len(dealt) == 1 and sources[None]
+
+
 @pytest.mark.parametrize("per_block", [3, 100_000])
 def test_mixing_takes_as_much_in_any_blocks(spark, rows, per_block):
     got = mixing.sampled_copies(frame(spark, rows), rows_per_block=per_block).groupBy("source").agg(F.sum("copies").alias("c"), F.count("*").alias("n"), F.first("target").alias("t"), F.first("source_size").alias("s"))
