@@ -34,6 +34,7 @@ TABLE = ["sys_code", "table_code"]
 BRANCHES_PER_JOB = 24   # determinants of a large table tested by one job
 KEYS_PER_ROW = 64       # determinants of a small table tested by one job
 PROBE_ROWS = 100_000    # rows of the refutation probe
+GROUP_SHARE = 32        # of the groups of a large table, one in so many is looked at before all are
 PAIRED_ROWS = 5_000     # rows whose pairs give difference sets, fewer for wide tables
 PAIRED_CELLS = 5_000_000
 PAIRED_SETS = 4_000     # difference sets kept, and how many of these for one column
@@ -104,8 +105,8 @@ def _test(rows: DataFrame, lhs: tuple[str, ...], rhs: Sequence[str]) -> DataFram
     )
 
 
-def _run_branches(rows: DataFrame, plan: Plan) -> Verdicts:
-    """Verdicts for a few determinants of a large table, one aggregate each.
+def _in_batches(plan: Plan, test) -> Verdicts:
+    """Verdicts for a few determinants of a large table, one aggregate ``test(lhs, rhs)`` each.
 
     Every branch reads only its own columns. What comes to the driver is one row per
     determinant, bounded by the schema, not by the data.
@@ -113,12 +114,53 @@ def _run_branches(rows: DataFrame, plan: Plan) -> Verdicts:
     verdicts = {}
     todo = sorted(plan.items())
     for start in range(0, len(todo), BRANCHES_PER_JOB):
-        batch = [_test(rows, lhs, rhs) for lhs, rhs in todo[start : start + BRANCHES_PER_JOB]]
+        batch = [test(lhs, rhs) for lhs, rhs in todo[start : start + BRANCHES_PER_JOB]]
         for r in reduce(DataFrame.unionAll, batch).collect():
             verdicts[tuple(r["lhs"])] = (r["groups"], r["largest"], set(r["held"] or ()))
     return verdicts
 
 
+def _tuple_hash(lhs: Sequence[str]) -> Column:
+    """Equal for equal tuples; equal hashes prove nothing."""
+    return F.xxhash64(*[col(c) for c in lhs])
+
+
+def _test_unique(rows: DataFrame, lhs: tuple[str, ...], rhs: Sequence[str]) -> DataFrame:
+    """As ``_test`` where no two rows share a hash of ``lhs``, all ``rhs`` held then; otherwise ``largest`` is over 1 and counts for nothing.
+
+    Only the hashes are shuffled.
+    """
+    counted = rows.groupBy(_tuple_hash(lhs).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.agg(
+        F.array(*[F.lit(c) for c in lhs]).alias("lhs"),
+        F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.max("_n"), F.lit(0)).alias("largest"),
+        F.array(*[F.lit(c) for c in rhs]).alias("held"),
+    )
+
+
+def _run_branches(rows: DataFrame, plan: Plan) -> Verdicts:
+    """Verdicts for a few determinants of a large table. Those without right-hand sides and those not unique by hash are grouped."""
+    by_hash = _in_batches({lhs: rhs for lhs, rhs in plan.items() if rhs}, lambda lhs, rhs: _test_unique(rows, lhs, rhs))
+    unique = {lhs: verdict for lhs, verdict in by_hash.items() if verdict[1] == 1}
+    return unique | _in_batches({lhs: rhs for lhs, rhs in plan.items() if lhs not in unique}, lambda lhs, rhs: _test(rows, lhs, rhs))
+
+
+def _left_by_some_groups(rows: DataFrame, plan: Plan) -> Plan:
+    """Candidates that no whole group out of a ``GROUP_SHARE``-th of the groups refutes.
+
+    Rows of a group are rarely together in a sample of rows; here all rows of a tuple are taken or none. Only refutes.
+    """
+    some = lambda lhs: rows.where(F.pmod(_tuple_hash(lhs), F.lit(GROUP_SHARE)) == 0)
+    return _not_refuted(plan, _in_batches(plan, lambda lhs, rhs: _test(some(lhs), lhs, rhs)))
+
+
+def _not_refuted(plan: Plan, seen: Verdicts) -> Plan:
+    """Candidates that hold in the rows behind ``seen``, or met none of them."""
+    plan = {lhs: [r for r in rhs if lhs not in seen or not seen[lhs][0] or r in seen[lhs][2]] for lhs, rhs in plan.items()}
+    return {lhs: rhs for lhs, rhs in plan.items() if rhs}
+
+
 def _run_exploded(rows: DataFrame, plan: Plan) -> Verdicts:
     """Verdicts for many determinants of a small table in one aggregate.
 
@@ -179,10 +221,11 @@ def _run_tests(rows: DataFrame, plan: Plan, large: bool = False) -> Verdicts:
     """Exact verdicts ``{lhs: (distinct tuples, largest group, right-hand sides that hold)}``.
 
     Right-hand texts that hold by hash are tested once more: they hold if adding them gives no more distinct tuples.
+    A unique determinant determines them whatever their hashes are.
     """
     verdicts = _run_branches(rows, plan) if large else _run_exploded(rows, plan)
     text = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)}
-    again = [(lhs, c) for lhs, (_, _, held) in verdicts.items() for c in held & text]
+    again = [(lhs, c) for lhs, (_, largest, held) in verdicts.items() if largest > 1 for c in held & text]
     counts = _tuple_counts(rows, [(*lhs, c) for lhs, c in again], large)
     for lhs, c in again:
         if counts[(*lhs, c)] != verdicts[lhs][0]:
@@ -286,9 +329,7 @@ def _minimal_covers(
                 plan.setdefault(tuple(sorted(names[i] for i in r["chosen"])), []).append(names[r["target"]])
             plan = {lhs: sorted(rhs) for lhs, rhs in _within_counts(plan, distinct).items()}
             if probe is not None and plan:
-                seen = _run_tests(probe, plan)
-                plan = {lhs: [r for r in rhs if lhs not in seen or r in seen[lhs][2]] for lhs, rhs in plan.items()}
-                plan = {lhs: rhs for lhs, rhs in plan.items() if rhs}
+                plan = _left_by_some_groups(rows, _not_refuted(plan, _run_tests(probe, plan)))
             fresh = []
             for lhs, (groups, _, held) in _run_tests(rows, plan, probe is not None).items():
                 distinct[frozenset(lhs)] = groups

@@ -124,3 +124,17 @@ def test_both_zeros_are_one_value_on_every_path(spark):
     df = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (1.0, "y"), (2.0, "y"), (-0.0, "x"), (0.0, "x")], "a double, b string")
     small, large = (fd.mine_fds(df, probe_rows=n) for n in (100_000, 0.5))
     assert (frozenset(["a"]), "b") in small and set(small) == set(large)
+
+
+def test_large_tables_group_all_rows_only_where_hashes_and_some_groups_decide_nothing(spark, monkeypatch):
+    """A pair that is unique is found by hashes, a pair refuted in many groups by some whole groups."""
+    n = 6000
+    data = [(i // 2, i % 2, i // 2 % 40, (i // 2 * 7 + i % 2 * 3) % 50, f"t{i % 7}") for i in range(n)]
+    df = spark.createDataFrame(data, "a int, b int, c int, d int, e string")
+    grouped, test = {}, fd._test
+    monkeypatch.setattr(fd, "_test", lambda rows, lhs, rhs: grouped.setdefault(lhs, []).append(rows.count()) or test(rows, lhs, rhs))
+    found = fd.mine_fds(df, 2, probe_rows=60)
+    assert n not in grouped.get(("a", "b"), []) and n not in grouped.get(("a", "d"), []) and n in grouped[("a",)]
+    assert (frozenset("ab"), "e") in found and (frozenset("a"), "c") in found
+    monkeypatch.undo()
+    assert sorted(map(str, found)) == sorted(map(str, fd.mine_fds(df, 2)))
