@@ -377,13 +377,18 @@ def has_chinese(tables: Tables) -> DataFrame:
 def code_values(tables: Tables, profile: DataFrame | None = None) -> DataFrame:
     """``(sys_code, table_code, col_code, code_value)`` of all fields categorised as codes.
 
-    Code values have at most 10 characters, so longer ones are dropped before the shuffle,
-    and a field has fewer than 20 of them, so the join side from the profile stays small.
+    The driver learns the names of these fields, and only they are read. A code has fewer than 20 values, which the map
+    tasks reduce first, so next to nothing is shuffled. Code values have at most 10 characters.
     """
     profile = settled(profile_tables(tables) if profile is None else profile)
-    codes = profile.where(F.col("tech_cate") == "CODE").select(*FIELD)
-    values = long_values(tables).where(F.length("value").between(1, 10)).distinct()
-    return values.join(codes, FIELD, "left_semi").withColumnRenamed("value", "code_value")
+    codes: dict[tuple[str, str], list[str]] = {}
+    for r in profile.where(F.col("tech_cate") == "CODE").select(*FIELD).distinct().collect():
+        if (key := (r["sys_code"], r["table_code"])) in tables and r["col_code"] in usable_columns(tables[key]):
+            codes.setdefault(key, []).append(r["col_code"])
+    if not codes:
+        return long_values(tables).limit(0).withColumnRenamed("value", "code_value")
+    values = long_values(tables, codes).where(F.length("value").between(1, 10)).distinct()
+    return values.withColumnRenamed("value", "code_value")
 
 
 def effective_type(profile: DataFrame) -> DataFrame:

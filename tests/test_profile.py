@@ -184,3 +184,19 @@ def test_rates_and_amounts_count_every_number(spark):
     assert one(spark, ["0.5"] * 95 + ["250"] * 5)["tech_cate"] == "AMOUNT"
     assert one(spark, ["0.5"] * 95 + ["nan", "inf", "x", "", "-3"])["tech_cate"] == "RATE"
     assert one(spark, ["5.0"] * 95 + ["250"] * 5)["tech_cate"] == "NUM"
+
+
+def test_code_values_read_only_code_fields(spark):
+    """Columns that are no codes are neither read nor shuffled."""
+    rows = [(i, f"c{i % 3}", f"note {i}", f"{i % 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, kind string, note string, half string")
+    codes = profile.code_values({("s", "t"): df})
+    plan = codes._jdf.queryExecution().analyzed().toString()
+    assert sorted(tuple(r) for r in codes.collect()) == [("s", "t", "half", v) for v in "01"] + [("s", "t", "kind", f"c{v}") for v in "012"]
+    assert "trim(" in plan and not [line for line in plan.splitlines() if "trim(" in line and "note" in line]
+
+
+def test_codes_of_no_field_are_no_rows(spark):
+    df = spark.createDataFrame([(i, f"a text that is no code {i}") for i in range(50)], "id long, note string")
+    codes = profile.code_values({("s", "t"): df})
+    assert codes.columns == ["sys_code", "table_code", "col_code", "code_value"] and codes.count() == 0
