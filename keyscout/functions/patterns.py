@@ -111,20 +111,21 @@ DATE_BIT, TIME_BIT, TIMESTAMP_BIT, FLOAT_BIT, INTEGER_BIT, CHINESE_BIT = 1, 2, 4
 def value_marks(c: Column) -> Column:
     """All recognisers of one value as an integer bit set.
 
-    Length guards skip the expensive patterns for values that cannot match.
+    Guards on length, signs and bytes skip the expensive patterns for values that cannot match.
     """
-    size = F.length(c)
+    size, point = F.length(c), c.contains(".")
+    dated = c.substr(5, 1).isin("-", "/", ".") | ((size == 8) & ~point)
 
     def bit(condition: Column, value: int) -> Column:
         return F.when(condition, F.lit(value)).otherwise(F.lit(0))
 
     return (
-        bit(size.between(8, 10) & is_date(c), DATE_BIT)
-        + bit(size.isin(5, 8) & is_time(c), TIME_BIT)
+        bit(size.between(8, 10) & dated & is_date(c), DATE_BIT)
+        + bit(size.isin(5, 8) & (c.substr(3, 1) == ":") & is_time(c), TIME_BIT)
         + bit((size >= 14) & c.rlike("^ *[0-9]") & is_timestamp(c), TIMESTAMP_BIT)
-        + bit(c.contains(".") & is_float(c), FLOAT_BIT)
-        + bit(is_integer(c), INTEGER_BIT)
-        + bit(has_chinese(c), CHINESE_BIT)
+        + bit(point & is_float(c), FLOAT_BIT)
+        + bit(~point & is_integer(c), INTEGER_BIT)
+        + bit((F.octet_length(c) > size) & has_chinese(c), CHINESE_BIT)
     )
 
 
