@@ -129,6 +129,18 @@ def value_marks(c: Column) -> Column:
     )
 
 
+def integer_marks(c: Column) -> Column:
+    """``value_marks`` of the text of a typed integer, or of a blank."""
+    size = F.length(c)
+    month = c.substr(5, 2).between("01", "12")
+    return (
+        F.when(size == 0, 0)
+        .when((size == 8) & month & is_date(c), INTEGER_BIT + DATE_BIT)
+        .when((size == 14) & month & is_timestamp(c), INTEGER_BIT + TIMESTAMP_BIT)
+        .otherwise(INTEGER_BIT)
+    )
+
+
 def has_mark(marks: Column, value: int) -> Column:
     return marks.bitwiseAND(F.lit(value)) != 0
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def col(name: str | Column) -> Column:
@@ -30,6 +31,28 @@ def not_blank(c: str | Column) -> Column:
     return F.rtrim(col(c).cast("string")) != F.lit("")
 
 
+# Types whose values can be counted as they are, and the type to count them in. Other types are counted as text.
+_COUNTED_AS = {
+    T.ByteType: "bigint",
+    T.ShortType: "bigint",
+    T.IntegerType: "bigint",
+    T.LongType: "bigint",
+    T.DoubleType: "double",
+    T.DateType: "date",
+    T.TimestampType: "timestamp_ntz",  # two instants may have one text where clocks are put back
+}
+
+
+def counted_as(kind: T.DataType) -> str:
+    """A type in which values of type ``kind`` are equal exactly if their texts are, ``is_minus_zero`` aside."""
+    return _COUNTED_AS.get(type(kind), "string")
+
+
+def is_minus_zero(c: Column) -> Column:
+    """Whether a double is the zero that has a text of its own; a grouping takes both zeros as one."""
+    return F.when(c == 0, c.cast("string").startswith("-")).otherwise(F.lit(False))
+
+
 def without_table_prefix(c: str | Column) -> Column:
     """``schema.table`` to ``table``: drop everything up to the first dot."""
     return F.regexp_replace(col(c), r"^[^.]*\.", "")

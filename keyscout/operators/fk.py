@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keyscout import defaults
-from keyscout.functions.text import col, normalize, not_blank
+from keyscout.functions import words
+from keyscout.functions.text import col, counted_as, normalize, not_blank
 from keyscout.operators.histogram import FIELD
 from keyscout.operators.profile import effective_type
 from keyscout.operators.numbering import numbered
@@ -87,38 +88,54 @@ WORD = 63  # columns per bit word; the sign bit stays unused
 def _membership_counts(tables: Tables, fields: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``(w0, w1, ..., blank, n)``: for every set of fields, how many values lie in exactly them.
 
-    One scan of the fields and one shuffle of distinct values. A field is a bit, so a value
-    that occurs in many fields, or in a third of all rows, is one small row per map task.
+    Each field's distinct values come from a scan of its own column and meet in one shuffle. A field is a bit, so a
+    value that occurs in many fields, or in a third of all rows, is one small row per map task.
     """
-    numbered: dict[TableKey, list[tuple[int, str]]] = {}
+    names = [f"w{w}" for w in range((len(fields) + WORD - 1) // WORD)]
+    parts = []
     for i, (sys_code, table_code, name) in enumerate(fields):
-        numbered.setdefault((sys_code, table_code), []).append((i, name))
-    values = reduce(
-        DataFrame.unionByName,
-        [
-            tables[table].select(
-                F.inline(
-                    F.array(
-                        *[F.struct(F.lit(i).alias("field"), normalize(c).alias("value")) for i, c in columns]
-                    )
-                )
-            )
-            for table, columns in numbered.items()
-        ],
-    )
-    words = [f"w{w}" for w in range((len(fields) + WORD - 1) // WORD)]
-    bit = F.expr(f"shiftleft(1L, field % {WORD})")
-    by_value = values.groupBy("value").agg(
-        *[
-            F.coalesce(F.bit_or(F.when(F.expr(f"field div {WORD}") == i, bit)), F.lit(0)).alias(w)
-            for i, w in enumerate(words)
-        ]
-    )
-    return by_value.groupBy(*words, (F.col("value") == "").alias("blank")).agg(
-        F.count(F.lit(1)).alias("n")
+        bits = [F.lit(1 << i % WORD if i // WORD == w else 0).cast("long").alias(c) for w, c in enumerate(names)]
+        values = tables[(sys_code, table_code)].select(normalize(name).alias("value")).distinct()
+        parts.append(values.select("value", *bits))
+    by_value = reduce(DataFrame.unionByName, parts).groupBy("value").agg(*[F.bit_or(w).alias(w) for w in names])
+    return by_value.groupBy(*names, (F.col("value") == "").alias("blank")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _shared_texts(tables: Tables, fields: Sequence[tuple[str, str, str]], wanted: DataFrame) -> DataFrame:
+    """``(p, c, every, filled)``: values that both numbered fields of a wanted pair hold, with and without blanks.
+
+    Every set of fields that holds some value is taken apart into its members, and a member meets only its own pairs,
+    so the work follows the sets and pairs that occur.
+    """
+    counts = _membership_counts(tables, fields)
+    names = [c for c in counts.columns if c not in ("blank", "n")]
+    places = F.flatten(F.array(*[_bits_of(w, i * WORD) for i, w in enumerate(names)]))
+    members = counts.select(F.explode(places).alias("c"), F.array(*names).alias("words"), "blank", "n")
+    shared = members.join(wanted, "c").where(F.expr(f"getbit(words[int(p div {WORD})], p % {WORD}) = 1"))
+    return shared.groupBy("p", "c").agg(
+        F.sum("n").alias("every"), F.coalesce(F.sum(F.when(~F.col("blank"), F.col("n"))), F.lit(0)).alias("filled")
     )
 
 
+def _shared_integers(tables: Tables, fields: Sequence[tuple[str, str, str]], wanted: DataFrame) -> DataFrame:
+    """``_shared_texts`` of fields that hold typed integers, which are compared as bits of words.
+
+    A word meets with one entry per field at most. The blank is the one value of the word NULL.
+    """
+    parts = []
+    for i, (sys_code, table_code, name) in enumerate(fields):
+        ints = tables[(sys_code, table_code)].select(col(name).cast("bigint").alias("v"))
+        held = F.coalesce(words.bits(), F.lit(1).cast("long"))
+        parts.append(ints.groupBy(words.word().alias("word")).agg(held.alias("bits")).select("word", F.lit(i).alias("no"), "bits"))
+    by_word = reduce(DataFrame.unionByName, parts).groupBy("word").agg(F.collect_list(F.struct("no", "bits")).alias("members"))
+    each = by_word.select("word", "members", F.inline("members")).withColumnsRenamed({"no": "c", "bits": "own"})
+    other = F.filter("members", lambda m: m["no"] == F.col("p"))
+    met = each.join(wanted, "c").select("word", "p", "c", "own", F.get(other, 0)["bits"].alias("held"))
+    n = F.bit_count(F.col("own").bitwiseAND(F.col("held"))).cast("long")
+    filled = F.coalesce(F.sum(F.when(F.col("word").isNotNull(), n)), F.lit(0))
+    return met.where(F.col("held").isNotNull()).groupBy("p", "c").agg(F.sum(n).alias("every"), filled.alias("filled"))
+
+
 def _bits_of(word: str, first: int) -> Column:
     """Numbers of the bits that are set in a word whose lowest bit is number ``first``."""
     places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda k: F.getbit(word, k) == 1)
@@ -129,9 +146,8 @@ def inclusion_unary(tables: Tables, pairs: DataFrame | Sequence[tuple]) -> DataF
     """Share of the child's distinct values found in the parent, for many column pairs at once.
 
     ``pairs`` are ``(parent_sys, parent_table, parent_col, child_sys, child_table, child_col)``, as rows or as a
-    DataFrame. A blank in the child counts as a value that is never found. Every set of fields that holds some value
-    is taken apart into its members, and a member meets only its own pairs, so the work follows the sets and pairs
-    that occur. Only the names of the fields come to the driver, since a scan has to name its columns.
+    DataFrame. A blank in the child counts as a value that is never found. Pairs of typed integers are compared as bits,
+    others as text. Only the names of the fields come to the driver, since a scan has to name its columns.
     """
     spark = next(iter(tables.values())).sparkSession
     if not isinstance(pairs, DataFrame):
@@ -142,31 +158,44 @@ def inclusion_unary(tables: Tables, pairs: DataFrame | Sequence[tuple]) -> DataF
     sizes = ["parent_size", "child_distinct", "child_filled", "contained"]
     if not fields:
         return pairs.select(*EDGE, *[F.lit(0).cast("long").alias(c) for c in sizes], F.lit(0.0).alias("ratio"))
-    numbers = spark.createDataFrame([(i, *f) for i, f in enumerate(fields)], "no int, sys_code string, table_code string, col_code string")
+    typed = [(*f, counted_as(tables[f[:2]].schema[f[2]].dataType) == "bigint") for f in fields]
+    kinds = spark.createDataFrame(typed, "sys_code string, table_code string, col_code string, whole boolean")
+
+    def with_kind(df: DataFrame, side: Sequence[str], name: str) -> DataFrame:
+        return df.join(kinds.select(F.col("whole").alias(name), *[F.col(f).alias(c) for f, c in zip(FIELD, side)]), side)
+
+    integers = F.col("p_whole") & F.col("c_whole")
+    marked = settled(with_kind(with_kind(pairs, PARENT, "p_whole"), CHILD, "c_whole").select(*EDGE, integers.alias("integers")))
+    parts = []
+    for whole in (True, False):
+        part = marked.where(F.col("integers") == whole).select(*EDGE)
+        sides = part.select(*PARENT).union(part.select(*CHILD))
+        if members := sorted(tuple(r) for r in sides.distinct().collect()):
+            parts.append(_contained(tables, part, members, whole))
+    found = reduce(DataFrame.unionByName, parts)
+    ratio = F.when(F.col("child_distinct") > 0, F.col("contained") / F.col("child_distinct")).otherwise(0.0)
+    return found.withColumn("ratio", ratio)
+
+
+def _contained(tables: Tables, pairs: DataFrame, fields: Sequence[tuple[str, str, str]], integers: bool) -> DataFrame:
+    """``(*EDGE, parent_size, child_distinct, child_filled, contained)`` of pairs among ``fields``."""
+    numbers = pairs.sparkSession.createDataFrame([(i, *f) for i, f in enumerate(fields)], "no int, sys_code string, table_code string, col_code string")
 
     def numbered(side: Sequence[str], name: str) -> DataFrame:
         return numbers.select(F.col("no").alias(name), *[F.col(f).alias(c) for f, c in zip(FIELD, side)])
 
     known = pairs.join(numbered(PARENT, "p"), PARENT).join(numbered(CHILD, "c"), CHILD)
     # A pair of a field with itself gives the field's own sizes.
-    wanted = known.select("p", "c").union(numbers.select(F.col("no").alias("p"), F.col("no").alias("c")))
-    counts = _membership_counts(tables, fields)
-    words = [c for c in counts.columns if c not in ("blank", "n")]
-    places = F.flatten(F.array(*[_bits_of(w, i * WORD) for i, w in enumerate(words)]))
-    members = counts.select(F.explode(places).alias("c"), F.array(*words).alias("words"), "blank", "n")
-    shared = members.join(wanted, "c").where(F.expr(f"getbit(words[int(p div {WORD})], p % {WORD}) = 1"))
-    met = shared.groupBy("p", "c").agg(
-        F.sum("n").alias("every"), F.coalesce(F.sum(F.when(~F.col("blank"), F.col("n"))), F.lit(0)).alias("filled")
-    )
+    wanted = known.select("p", "c").union(numbers.select(F.col("no").alias("p"), F.col("no").alias("c"))).distinct()
+    met = (_shared_integers if integers else _shared_texts)(tables, fields, wanted)
     met = settled(met)  # one row per pair
     own = met.where("p = c")
     parent_sizes = own.select("p", F.col("filled").alias("parent_size"))
     child_sizes = own.select("c", F.col("every").alias("child_distinct"), F.col("filled").alias("child_filled"))
     both = met.select("p", "c", F.col("filled").alias("contained"))
     sized = known.join(both, ["p", "c"], "left").join(parent_sizes, "p", "left").join(child_sizes, "c", "left")
-    found = sized.select(*EDGE, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in sizes])
-    ratio = F.when(F.col("child_distinct") > 0, F.col("contained") / F.col("child_distinct")).otherwise(0.0)
-    return found.withColumn("ratio", ratio)
+    sizes = ["parent_size", "child_distinct", "child_filled", "contained"]
+    return sized.select(*EDGE, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in sizes])
 
 
 def passes_threshold(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keyscout import defaults
-from keyscout.functions import moments, patterns
-from keyscout.functions.text import col, normalize
+from keyscout.functions import moments, patterns, words
+from keyscout.functions.text import as_text, col, counted_as, is_minus_zero, normalize
 from keyscout.operators.histogram import FIELD, long_values
 from keyscout.session import settled
 from keyscout.sources.tables import Tables, usable_columns
@@ -32,42 +32,103 @@ def _field_numbers(tables: Tables) -> list[tuple[str, str, int, str]]:
     ]
 
 
-def _measured_histogram(tables: Tables) -> DataFrame:
-    """One row per distinct value of a field id: ``n``, its length, marks and number.
+def _fields(tables: Tables) -> list[tuple[str, DataFrame, str, str]]:
+    """Id, table, name and type to count in of all usable fields; the ids are those of ``_field_numbers``."""
+    named = [(df, c) for df in tables.values() for c in usable_columns(df)]
+    return [(str(i), df, c, counted_as(df.schema[c].dataType)) for i, (df, c) in enumerate(named)]
+
+
+def _measured(field: str, counted: DataFrame, text: Column, number: Column | None = None) -> DataFrame:
+    """Counted values of a field with the measures of their texts."""
+    v = F.col("text")
+    return counted.select("n", "value", text.alias("text")).select(
+        F.lit(field).alias("field"),
+        "n",
+        F.lit(1).cast("long").alias("values"),
+        F.length(v).alias("len"),
+        patterns.value_marks(v).alias("marks"),
+        (patterns.to_double(v) if number is None else number).alias("number"),
+    )
+
 
-    The recognisers run once per distinct value, after counting. Long texts are identified by
-    their digest, so megabytes of prose do not cross the network; what their profile needs is
-    measured before the shuffle and travels behind the digest.
+def _measured_texts(field: str, values: DataFrame) -> list[DataFrame]:
+    """Counted texts with their measures, short and long ones apart.
+
+    Long texts are identified by their digest, so megabytes of prose do not cross the network; what their profile
+    needs is measured before the shuffle and travels behind the digest. They are read apart from the short ones, since
+    the code that measures and counts in one step is too long for the JVM to compile.
     """
-    ids = {(s, t, c): str(i) for i, (s, t, _, c) in enumerate(_field_numbers(tables))}
-    parts = []
-    for key, df in tables.items():
-        names = usable_columns(df)
-        if names:
-            wide = df.select([normalize(c).alias(ids[(*key, c)]) for c in names])
-            parts.append(wide.unpivot([], [col(c) for c in wide.columns], "field", "value"))
-    v = F.col("value")
+    v, n = F.col("value"), F.count(F.lit(1)).alias("n")
     packed = F.concat_ws(
         "|", F.sha2(v, 256), F.length(v), patterns.value_marks(v), patterns.to_double(v).cast("string")
     )
-    counted = (
-        reduce(DataFrame.unionByName, parts)
-        .select("field", F.when(F.length(v) > LONG_VALUE, packed).otherwise(v).alias("value"))
-        .groupBy("field", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    is_packed = F.length(v) > LONG_VALUE
+    is_long = F.length(v) > LONG_VALUE
+    digests = values.where(is_long).select(packed.alias("value")).groupBy("value").agg(n)
 
     def part(i: int, kind: str) -> Column:
         return F.get(F.split(v, r"\|"), i).cast(kind)
 
-    return counted.select(
-        "field",
-        "value",
+    measures = [part(1, "int").alias("len"), part(2, "int").alias("marks"), part(3, "double").alias("number")]
+    return [
+        _measured(field, values.where(~is_long).groupBy("value").agg(n), v),
+        digests.select(F.lit(field).alias("field"), "n", F.lit(1).cast("long").alias("values"), *measures),
+    ]
+
+
+def _measured_integers(field: str, ints: DataFrame) -> DataFrame:
+    """Words of the integers ``v`` with the measures of their texts, which are the same for all integers of a word.
+
+    Integers that may differ from others of their word are rows of their own.
+    """
+    counted = ints.groupBy(words.word().alias("word"), words.apart().alias("apart")).agg(
+        words.bits().alias("bits"), F.max("v").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    text = as_text(F.coalesce("apart", F.shiftleft("word", 6)))
+    v = F.col("text")
+    return counted.select("n", "bits", "last", text.alias("text")).select(
+        F.lit(field).alias("field"),
         "n",
-        F.when(is_packed, part(1, "int")).otherwise(F.length(v)).alias("len"),
-        F.when(is_packed, part(2, "int")).otherwise(patterns.value_marks(v)).alias("marks"),
-        F.when(is_packed, part(3, "double")).otherwise(patterns.to_double(v)).alias("number"),
+        F.coalesce(F.bit_count("bits"), F.lit(1)).cast("long").alias("values"),
+        F.length(v).alias("len"),
+        patterns.integer_marks(v).alias("marks"),
+        F.col("last").cast("double").alias("number"),
+    )
+
+
+def _measured_histogram(tables: Tables) -> DataFrame:
+    """One row per distinct value of a field id, or per word of integers: rows, values, length, marks and greatest number.
+
+    The recognisers run once per distinct value, after counting. Every field is counted by a scan of its own column,
+    in which the values are single keys: a row of all fields taken apart costs several times as much. Doubles, dates
+    and timestamps are counted as they are and become text only then; integers are counted as words.
+    """
+    v, n = F.col("value"), F.count(F.lit(1)).alias("n")
+    parts = []
+    for field, df, name, kind in _fields(tables):
+        if kind == "string":
+            parts += _measured_texts(field, df.select(normalize(name).alias("value")))
+            continue
+        values = df.select(col(name).cast(kind).alias("value"))
+        if kind == "double":
+            counted = values.groupBy("value", is_minus_zero(v).alias("minus")).agg(n)
+            text = F.when(F.col("minus"), F.lit("-0.0")).otherwise(as_text("value"))
+            parts.append(_measured(field, counted, text, v))
+        elif kind == "bigint":
+            parts.append(_measured_integers(field, values.withColumnRenamed("value", "v")))
+        else:
+            nothing = F.lit(None).cast("double")
+            parts.append(_measured(field, values.groupBy("value").agg(n), as_text("value"), nothing))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _summary(tables: Tables) -> DataFrame:
+    """The measured histogram by length and marks: what counts and moments need, in a few rows per field."""
+    number = F.when(F.abs("number") < float("inf"), F.col("number"))  # all values that parse, NaN and infinities aside
+    return _measured_histogram(tables).groupBy("field", "len", "marks").agg(
+        F.sum("n").alias("n"),
+        F.sum("values").alias("values"),
+        F.max(number).alias("max_number"),
+        F.max(number % F.lit(1.0)).alias("max_fraction"),
     )
 
 
@@ -87,7 +148,7 @@ def _with_names(df: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def _counts(hist: DataFrame) -> DataFrame:
+def _counts(summary: DataFrame) -> DataFrame:
     filled = F.col("len") > 0
     marks, n = F.col("marks"), F.col("n")
     vote = patterns.type_vote(marks)
@@ -95,17 +156,16 @@ def _counts(hist: DataFrame) -> DataFrame:
     def rows(condition: Column) -> Column:
         return F.sum(F.when(filled & condition, n).otherwise(0))
 
-    number = F.when(F.abs("number") < float("inf"), F.col("number"))  # all values that parse, NaN and infinities aside
-    return hist.groupBy("field").agg(
+    return summary.groupBy("field").agg(
         F.sum("n").alias("records"),
-        F.count(F.lit(1)).alias("distinct"),
-        F.count_if(filled).alias("filled_distinct"),
+        F.sum("values").alias("distinct"),
+        F.sum(F.when(filled, F.col("values")).otherwise(0)).alias("filled_distinct"),
         F.sum(F.when(filled, n).otherwise(0)).alias("filled"),
         F.coalesce(F.max(F.when(filled, F.col("len"))), F.lit(0)).alias("max_len"),
         F.coalesce(F.min(F.when(filled, F.col("len"))), F.lit(0)).alias("min_len"),
         F.max(patterns.has_mark(marks, patterns.CHINESE_BIT)).alias("has_chinese"),
-        F.max(number).alias("max_number"),
-        F.max(number % F.lit(1.0)).alias("max_fraction"),
+        F.max("max_number").alias("max_number"),
+        F.max("max_fraction").alias("max_fraction"),
         *[rows(vote == k).alias(f"vote_{k}") for k in patterns.VOTE_ORDER],
         *[
             rows(patterns.has_mark(marks, bit)).alias(f"is_{kind}")
@@ -120,14 +180,10 @@ def _counts(hist: DataFrame) -> DataFrame:
     )
 
 
-def _length_moments(hist: DataFrame) -> DataFrame:
-    """Moments of the value lengths from the histogram of lengths, which is small.
-
-    Blanks get weight 0 instead of being filtered: a filter would be pushed below the
-    histogram's exchange, which could then not be shared with the other branches.
-    """
+def _length_moments(summary: DataFrame) -> DataFrame:
+    """Moments of the value lengths from the histogram of lengths, which is small. Blanks get weight 0."""
     weight = F.when(F.col("len") > 0, F.col("n")).otherwise(0)
-    sizes = hist.groupBy("field", "len").agg(F.sum(weight).alias("n"))
+    sizes = summary.groupBy("field", "len").agg(F.sum(weight).alias("n"))
     per_field = Window.partitionBy("field")
     total = F.sum(F.col("len") * F.col("n")).over(per_field)
     mean = F.try_divide(total, F.sum("n").over(per_field))
@@ -153,27 +209,28 @@ def _length_moments(hist: DataFrame) -> DataFrame:
     )
 
 
-def _sequence_steps(values: DataFrame, key: list[str]) -> DataFrame:
+def _integer(value: Column) -> Column:
+    """The integer in a text of digits; NULL for other texts."""
+    return F.when(patterns.full_match(value, patterns.DIGITS), value.try_cast("bigint"))
+
+
+def _words(ints: DataFrame, key: list[str]) -> DataFrame:
+    """``(key, word, bits, rows)``: the integers ``v`` of each key as bits of 64-bit words, and rows per word.
+
+    The map tasks reduce rows to words. NULLs meet in one group per key that counts for nothing.
+    """
+    return ints.groupBy(*key, words.word().alias("word")).agg(words.bits().alias("bits"), F.count("v").alias("rows"))
+
+
+def _sequence_steps(counted: DataFrame, key: list[str]) -> DataFrame:
     """Per key: rows holding an integer, and distinct integers v whose v + 1 is there too.
 
-    Input has ``key``, ``value`` and ``n``. In sorted order these v are exactly the neighbours
-    with difference 1, but no sort is needed: integers become bits of 64-bit words, steps
+    In sorted order these v are exactly the neighbours with difference 1, but no sort is needed: steps
     inside a word are counted with bit operations, and only word borders are matched up.
-    Other values meet in one group per key that counts for nothing; see ``_length_moments``
-    for why they are not filtered.
     """
-    digits = patterns.full_match(F.col("value"), patterns.DIGITS)
-    ints = values.select(
-        *key, "n", F.when(digits, F.col("value").try_cast("bigint")).alias("v")
-    )
-    bit = F.expr("shiftleft(1L, CAST(v & 63 AS INT))")
-    words = ints.groupBy(*key, F.shiftright("v", 6).alias("word")).agg(
-        F.bit_or(bit).alias("bits"),
-        F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("rows"),
-    )
     inside = F.bit_count(F.col("bits").bitwiseAND(F.shiftrightunsigned("bits", 1)))
     has_last, has_first = F.col("bits") < 0, F.col("bits").bitwiseAND(F.lit(1)) != 0
-    borders = words.select(
+    borders = counted.select(
         *key,
         F.inline(
             F.array(
@@ -201,15 +258,28 @@ def _sequence_steps(values: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+def _field_steps(tables: Tables, chosen: set[str]) -> DataFrame:
+    """``_sequence_steps`` of some field ids."""
+    parts = []
+    for field, df, name, kind in _fields(tables):
+        if field in chosen:
+            v = col(name).cast(kind) if kind == "bigint" else _integer(normalize(name))
+            parts.append(_words(df.select(F.lit(field).alias("field"), v.alias("v")), ["field"]))
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "field string, steps long, int_rows long")
+    return _sequence_steps(reduce(DataFrame.unionByName, parts), ["field"])
+
+
 def _sequence_rate() -> Column:
     return F.when(F.col("int_rows") > 1, F.col("steps") / (F.col("int_rows") - 1)).otherwise(0.0)
 
 
 def autoincrement(df: DataFrame, column: str, threshold: float = defaults.AUTOINCREMENT_THRESHOLD) -> DataFrame:
     """Rate of steps of 1 between neighbouring integers of a column, and the verdict."""
-    values = df.select(F.lit(column).alias("col_code"), col(column).cast("string").alias("value"), F.lit(1).cast("long").alias("n"))
+    ints = df.select(F.lit(column).alias("col_code"), _integer(col(column).cast("string")).alias("v"))
     rate = F.round(_sequence_rate(), 12)
-    steps = _sequence_steps(values, ["col_code"])
+    steps = _sequence_steps(_words(ints, ["col_code"]), ["col_code"])
     return steps.select(
         "col_code", "int_rows", "steps", rate.alias("rate"), (rate >= threshold).alias("autoincrement")
     )
@@ -307,12 +377,13 @@ def profile_tables(
 ) -> DataFrame:
     """The profile of every usable column of every table with enough rows.
 
-    One scan and one large shuffle, the histogram; its branches reuse that exchange.
+    Distinct values are shuffled once and reduced to a summary of a few rows per field. The driver learns which fields
+    may be sequences, and only these are read again.
     """
-    hist = _measured_histogram(tables)
-    typed = _typed(_counts(hist), type_threshold)
-    steps = _sequence_steps(hist.select("field", "value", "n"), ["field"])
-    joined = typed.join(_length_moments(hist), "field", "left").join(steps, "field", "left")
+    summary = settled(_summary(tables))
+    typed = _typed(_counts(summary), type_threshold)
+    steps = _field_steps(tables, {r["field"] for r in typed.where("sequence_eligible").select("field").collect()})
+    joined = typed.join(_length_moments(summary), "field", "left").join(steps, "field", "left")
     joined = _with_names(joined, tables)
     sequence = F.col("sequence_eligible") & (_sequence_rate() >= sequence_threshold)
 
@@ -354,7 +425,7 @@ def table_info(tables: Tables, min_records: int = defaults.MIN_RECORDS) -> DataF
 
 def type_votes(tables: Tables) -> DataFrame:
     """Rows of every column that each recogniser accepts, and the votes per class."""
-    counts = _with_names(_counts(_measured_histogram(tables)), tables)
+    counts = _with_names(_counts(_summary(tables)), tables)
     kinds = ("integer", "float", "date", "time", "timestamp")
     return counts.select(
         *FIELD,
@@ -366,7 +437,7 @@ def type_votes(tables: Tables) -> DataFrame:
 
 
 def length_moments(tables: Tables) -> DataFrame:
-    return _with_names(_length_moments(_measured_histogram(tables)), tables).drop("col_num")
+    return _with_names(_length_moments(_summary(tables)), tables).drop("col_num")
 
 
 def has_chinese(tables: Tables) -> DataFrame:
