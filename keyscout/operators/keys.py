@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keyscout import defaults
-from keyscout.functions.text import col
+from keyscout.functions.text import col, counted_as, is_minus_zero
 from keyscout.operators.covers import extended
 from keyscout.operators.fd import TABLE, applicable, fd_degrees
 from keyscout.session import written
@@ -232,41 +232,36 @@ def verify_single_keys(
     return single.join(profile, [*TABLE, "col_code"]).where(good).select(*TABLE, "col_code")
 
 
+def _text_keys(df: DataFrame, name: str) -> list[Column]:
+    """Columns that are equal exactly if the texts of a column are."""
+    c, kind = col(name), counted_as(df.schema[name].dataType)
+    return [c, is_minus_zero(c)] if kind == "double" else [c.cast(kind)]
+
+
 def count_key_tuples(tables: Tables, keys: Mapping[TableKey, list[list[str]]]) -> DataFrame:
     """``(sys_code, table_code, key, records, tuples)`` of joint candidates.
 
-    All candidates of a table share one scan and one shuffle of ``(candidate, tuple)`` pairs.
-    Tuples with a NULL part count as rows but not as tuples.
+    Every candidate is counted by a scan of its own columns and one shuffle of tuples, in which numbers, dates and
+    timestamps are as they are, not text. Tuples with a NULL part count as rows but not as tuples.
     """
     parts = []
     for (sys_code, table_code), candidates in sorted(keys.items()):
         df = tables[(sys_code, table_code)]
-        tagged = df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.array(*[F.lit(c) for c in key]).alias("key"),
-                            F.when(
-                                reduce(lambda a, b: a & b, [col(c).isNotNull() for c in key]),
-                                F.array(*[col(c).cast("string") for c in key]),
-                            ).alias("tuple"),
-                        )
-                        for key in candidates
-                    ]
+        for key in candidates:
+            exact = [c for name in key for c in _text_keys(df, name)]
+            names = [f"k{i}" for i in range(len(exact))]
+            counted = df.select([c.alias(n) for c, n in zip(exact, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+            whole = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+            sums = counted.agg(F.sum("n").alias("records"), F.count_if(whole).alias("tuples")).where(F.col("records") > 0)
+            parts.append(
+                sums.select(
+                    F.lit(sys_code).alias("sys_code"),
+                    F.lit(table_code).alias("table_code"),
+                    F.array(*[F.lit(c) for c in key]).alias("key"),
+                    "records",
+                    "tuples",
                 )
             )
-        )
-        parts.append(
-            tagged.groupBy("key", "tuple")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("key")
-            .agg(
-                F.sum("n").alias("records"),
-                F.count_if(F.col("tuple").isNotNull()).alias("tuples"),
-            )
-            .select(F.lit(sys_code).alias("sys_code"), F.lit(table_code).alias("table_code"), "key", "records", "tuples")
-        )
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from keyscout.operators import fk, profile
+from keyscout.operators import fk, keys, profile
 
 
 def test_integers_are_shuffled_as_words(spark):
@@ -46,3 +46,12 @@ def test_inclusion_of_integers_and_of_texts_agree(spark):
     pairs = [(*a, "x", *b, "x") for a in sides for b in sides]
     rows = [sorted(tuple(r) for r in fk.inclusion_unary(t, pairs).collect()) for t in (typed, texts, mixed)]
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 9
+
+
+def test_joint_keys_are_counted_without_texts(spark):
+    rows = [(1, 0.0, 7), (1, -0.0, 7), (1, 0.0, 7), (2, None, 7), (None, 1.0, 7)]
+    tables = {("s", "t"): spark.createDataFrame(rows, "a long, b double, c int")}
+    got = {tuple(r["key"]): (r["records"], r["tuples"]) for r in keys.count_key_tuples(tables, {("s", "t"): [["a", "b"], ["a", "c"]]}).collect()}
+    assert got == {("a", "b"): (5, 2), ("a", "c"): (5, 2)}
+    counted = keys.count_key_tuples(tables, {("s", "t"): [["a", "c"]]})
+    assert "as string" not in counted._jdf.queryExecution().optimizedPlan().toString()  # a text per value before
